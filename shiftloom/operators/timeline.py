@@ -20,7 +20,7 @@ execution finds that list empty and drops the second step.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,17 +41,22 @@ class Timeline:
     ``keys``      entity columns.
     ``order``     order columns, the last ones being the tie-break.
     ``position``  an integer expression that grows (weakly) with ``order``: a day
-                  number, microseconds, a week number.
+                  number, microseconds, a week number. Left out where the rows per
+                  entity are bounded by construction (one per calendar day): then
+                  nothing is cut and the operators are plain windows.
     ``tiebreak``  optional second integer expression that grows with ``order``
                   inside one position, to cut below the grain of ``position``.
     """
 
     keys: Sequence[str]
     order: Sequence[str]
-    position: Column
+    position: Column | None = None
     tiebreak: Column | None = None
     rows_per_chunk: int = ROWS_PER_CHUNK
-    parts: tuple[str, ...] = field(default=(HOT, CHUNK), init=False)
+
+    @property
+    def parts(self) -> tuple[str, ...]:
+        return () if self.position is None else (HOT, CHUNK)
 
     # -- chunking ---------------------------------------------------------
 
@@ -77,12 +82,15 @@ class Timeline:
             )
         )
 
-    def split(self, df: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-        """Adds the chunk columns. ``sized_by`` may be a cheaper frame with the same keys."""
-        hot = F.broadcast(self.hot_keys(df if sized_by is None else sized_by))
+    def split(self, df: DataFrame) -> DataFrame:
+        """Adds the chunk columns (none where the rows per entity are bounded)."""
+        if self.position is None:
+            return df
+        hot = F.broadcast(self.hot_keys(df))
         frac = F.lit(0.0)
         if self.tiebreak is not None:
-            frac = (self.tiebreak - F.col("__t_min")) / (F.col("__t_max") - F.col("__t_min") + 1)
+            span = F.col("__t_max") - F.col("__t_min") + 1
+            frac = F.coalesce((self.tiebreak - F.col("__t_min")) / span, F.lit(0.0))
         bucket = F.width_bucket(
             (self.position + frac).cast("double"),
             F.col("__p_min").cast("double"),
@@ -114,58 +122,58 @@ class Timeline:
         """``{output: value}``: the next non-null value at or after each row."""
         return self._fill(df, cols, forward=False)
 
+    def following(self, df: DataFrame, cols: Mapping[str, Column | str]) -> DataFrame:
+        """``{output: value}``: the next non-null value strictly after each row."""
+        return self._fill(df, cols, forward=False, exclusive=True)
+
     def next_or_self(self, df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
-        """``{output: column}``: the value of the next row, or the own one if there is none."""
-        w = self._window()
+        """``{output: column}``: the value of the next row; the own one if that is null or missing."""
+        w = Window.partitionBy(*self.keys, *self.parts).orderBy(*self.order)
         nxt = {out: f"__next_{i}" for i, out in enumerate(cols)}
-        local = df.select(
+        out = df.select(
             "*",
             *[F.lead(cols[o]).over(w).alias(nxt[o]) for o in cols],
             F.lead(F.lit(True)).over(w).alias("__inner"),
         )
-        ordered = F.struct(*self.order)
-        borders = (
-            self._hot_rows(df)
-            .groupBy(*self.keys, *self.parts)
-            .agg(*[F.min_by(F.struct(F.col(cols[o]).alias("v")), ordered).alias(nxt[o]) for o in cols])
-        )
-        over_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK)
-        borders = borders.select(
-            *self.keys, *self.parts,
-            *[F.lead(nxt[o]).over(over_chunks)["v"].alias(f"{nxt[o]}_b") for o in cols],
-        )
-        out = local.join(borders, [*self.keys, *self.parts], "left")
-        result = {}
-        for o in cols:
-            following = F.when(F.col("__inner"), F.col(nxt[o])).otherwise(F.col(f"{nxt[o]}_b"))
-            result[o] = F.when(self._keys_present(), F.coalesce(following, F.col(cols[o])))
-        extra = ["__inner", *nxt.values(), *[f"{n}_b" for n in nxt.values()]]
-        return self._replace(out, result).drop(*extra)
+        found = {o: F.col(nxt[o]) for o in cols}
+        if self.parts:
+            ordered = F.struct(*self.order)
+            over_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK)
+            borders = (
+                self._hot_rows(df)
+                .groupBy(*self.keys, *self.parts)
+                .agg(*[F.min_by(F.struct(F.col(cols[o]).alias("v")), ordered).alias(nxt[o]) for o in cols])
+                .select(
+                    *self.keys, *self.parts,
+                    *[F.lead(nxt[o]).over(over_chunks)["v"].alias(f"{nxt[o]}_b") for o in cols],
+                )
+            )
+            out = out.join(borders, [*self.keys, *self.parts], "left")
+            found = {o: F.when(F.col("__inner"), found[o]).otherwise(F.col(f"{nxt[o]}_b")) for o in cols}
+        result = {o: F.when(self._keys_present(), F.coalesce(found[o], F.col(cols[o]))) for o in cols}
+        return self._replace(out, result).drop("__inner", *nxt.values(), *[f"{n}_b" for n in nxt.values()])
 
     def first_where(self, df: DataFrame, cols: Mapping[str, tuple[Column, str]]) -> DataFrame:
         """``{output: (condition, value)}``: least value among the entity's qualifying rows."""
         picked = {o: F.when(cond, F.col(value)) for o, (cond, value) in cols.items()}
         tmp = {o: f"__first_{i}" for i, o in enumerate(cols)}
         w = Window.partitionBy(*self.keys, *self.parts)
-        local = df.select("*", *[F.min(picked[o]).over(w).alias(tmp[o]) for o in cols])
-        over_chunks = Window.partitionBy(*self.keys)
-        totals = (
-            self._hot_rows(df)
-            .groupBy(*self.keys, *self.parts)
-            .agg(*[F.min(picked[o]).alias(tmp[o]) for o in cols])
-            .select(
-                *self.keys, *self.parts,
-                *[F.min(tmp[o]).over(over_chunks).alias(f"{tmp[o]}_b") for o in cols],
-            )
-        )
-        out = local.join(totals, [*self.keys, *self.parts], "left")
-        result = {
-            o: F.when(
-                self._keys_present(),
-                F.when(F.col(HOT).isNotNull(), F.col(f"{tmp[o]}_b")).otherwise(F.col(tmp[o])),
+        out = df.select("*", *[F.min(picked[o]).over(w).alias(tmp[o]) for o in cols])
+        found = {o: F.col(tmp[o]) for o in cols}
+        if self.parts:
+            over_chunks = Window.partitionBy(*self.keys)
+            totals = (
+                self._hot_rows(df)
+                .groupBy(*self.keys, *self.parts)
+                .agg(*[F.min(picked[o]).alias(tmp[o]) for o in cols])
+                .select(
+                    *self.keys, *self.parts,
+                    *[F.min(tmp[o]).over(over_chunks).alias(f"{tmp[o]}_b") for o in cols],
+                )
             )
-            for o in cols
-        }
+            out = out.join(totals, [*self.keys, *self.parts], "left")
+            found = {o: F.when(F.col(HOT).isNotNull(), F.col(f"{tmp[o]}_b")).otherwise(found[o]) for o in cols}
+        result = {o: F.when(self._keys_present(), found[o]) for o in cols}
         return self._replace(out, result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
     # -- helpers ----------------------------------------------------------
@@ -179,42 +187,47 @@ class Timeline:
     def _hot_rows(self, df: DataFrame) -> DataFrame:
         return df.where(F.col(HOT).isNotNull())
 
-    def _window(self):
-        return Window.partitionBy(*self.keys, *self.parts).orderBy(*self.order)
-
     @staticmethod
     def _replace(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
         """Sets columns, keeping the place of those that exist."""
         kept = [cols[c].alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns]
         return df.select(*kept, *[v.alias(c) for c, v in cols.items() if c not in df.columns])
 
-    def _fill(self, df: DataFrame, cols: Mapping[str, Column | str], forward: bool) -> DataFrame:
+    def _fill(self, df: DataFrame, cols: Mapping[str, Column | str], forward: bool,
+              exclusive: bool = False) -> DataFrame:
         values = {o: F.col(f"`{v}`") if isinstance(v, str) else v for o, v in cols.items()}
         tmp = {o: f"__fill_{i}" for i, o in enumerate(cols)}
-        ordered = F.struct(*self.order)
-        if forward:
-            rows = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            chunks = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-            seen, at_border = F.last, F.max_by
-        else:
-            rows = self._window().rowsBetween(Window.currentRow, Window.unboundedFollowing)
-            chunks = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(1, Window.unboundedFollowing)
-            seen, at_border = F.first, F.min_by
-        local = df.select("*", *[seen(values[o], ignorenulls=True).over(rows).alias(tmp[o]) for o in cols])
-        borders = (
-            self._hot_rows(df)
-            .groupBy(*self.keys, *self.parts)
-            .agg(*[at_border(values[o], F.when(values[o].isNotNull(), ordered)).alias(tmp[o]) for o in cols])
-            .select(
-                *self.keys, *self.parts,
-                *[seen(tmp[o], ignorenulls=True).over(chunks).alias(f"{tmp[o]}_b") for o in cols],
-            )
+        # Looking ahead is looking back in reversed order: a frame that ends at the
+        # current row is evaluated incrementally, one that starts there is not.
+        order = [F.col(c).asc() if forward else F.col(c).desc() for c in self.order]
+        rows = (
+            Window.partitionBy(*self.keys, *self.parts)
+            .orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
         )
-        out = local.join(borders, [*self.keys, *self.parts], "left")
-        result = {
-            o: F.when(self._keys_present(), F.coalesce(F.col(tmp[o]), F.col(f"{tmp[o]}_b"))) for o in cols
-        }
-        return self._replace(out, result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
+        local = df.select("*", *[F.last(values[o], ignorenulls=True).over(rows).alias(tmp[o]) for o in cols])
+        found = {o: F.col(tmp[o]) for o in cols}
+        if self.parts:
+            at_border = F.max_by if forward else F.min_by
+            ordered = F.struct(*self.order)
+            chunks = (
+                Window.partitionBy(*self.keys)
+                .orderBy(F.col(CHUNK).asc() if forward else F.col(CHUNK).desc())
+                .rowsBetween(Window.unboundedPreceding, -1)
+            )
+            borders = (
+                self._hot_rows(df)
+                .groupBy(*self.keys, *self.parts)
+                .agg(*[at_border(values[o], F.when(values[o].isNotNull(), ordered)).alias(tmp[o]) for o in cols])
+                .select(
+                    *self.keys, *self.parts,
+                    *[F.last(tmp[o], ignorenulls=True).over(chunks).alias(f"{tmp[o]}_b") for o in cols],
+                )
+            )
+            local = local.join(borders, [*self.keys, *self.parts], "left")
+            found = {o: F.coalesce(found[o], F.col(f"{tmp[o]}_b")) for o in cols}
+        result = {o: F.when(self._keys_present(), found[o]) for o in cols}
+        return self._replace(local, result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
 
 # -- one-step forms ----------------------------------------------------------
