@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules, text
-from shiftloom.operators.aggregates import sum0, time_in_status
+from shiftloom.operators.aggregates import COMPLETED_PARTS, STATUS_COLUMNS, TOTAL_PARTS, sum0, time_in_status
 from shiftloom.operators.joins import lookup
 from shiftloom.operators.projection import q
 from shiftloom.operators.sets import stack
@@ -186,15 +186,16 @@ ATTENDANCE_COLUMNS = [
 
 
 def status_roster_fact(roster: DataFrame, attendance: DataFrame, billed: DataFrame, timestamps: DataFrame, *,
-                       roster_city: str, work_city: str, week_ending: str) -> DataFrame:
+                       roster_city: str, work_city: str, week_ending: str | None) -> DataFrame:
     """Roster of a city and week with attendance, billed hours and time in status.
 
     Text days of the two hour feeds are parsed instead of formatting the roster's date,
-    so that the join keys are plain columns on the large side.
+    so that the join keys are plain columns on the large side. Without ``week_ending``
+    all weeks are kept.
     """
-    base = roster.where((F.col("city") == roster_city) & (F.col("week_end_date_text") == week_ending)).select(
-        *ROSTER_COLUMNS
-    )
+    base = roster.where(F.col("city") == roster_city)
+    base = base if week_ending is None else base.where(F.col("week_end_date_text") == week_ending)
+    base = base.select(*ROSTER_COLUMNS)
     seen = attendance.select(
         *[F.col(c).alias(f"iw_{c}") for c in ATTENDANCE_COLUMNS],
         F.round(F.col("actual_time_min").cast("float").cast("double") / 60, 2).alias("iw_actual_time"),
@@ -220,11 +221,43 @@ def status_roster_fact(roster: DataFrame, attendance: DataFrame, billed: DataFra
     )
 
 
-def status_roster_tables(spark: SparkSession, *, roster: str, attendance: str, billed: str, timestamps: str,
-                         roster_city: str, work_city: str, week_ending: str) -> DataFrame:
-    """The same from catalog tables."""
-    return status_roster_fact(
-        spark.table(roster), spark.table(attendance), spark.table(billed), spark.table(timestamps),
-        roster_city=roster_city, work_city=work_city, week_ending=week_ending,
-    )
-
+# One query over catalog tables. The quoted names hold spaces.
+_STATUS_SUMS = ",\n      ".join(
+    f"sum(mins) FILTER (WHERE status = '{s}') AS `{c}`" for c, s in STATUS_COLUMNS.items()
+)
+
+
+def _hours_sql(parts: Sequence[str]) -> str:
+    return "round((" + " + ".join(f"coalesce(`{p}`, 0.0D)" for p in parts) + ") / 60, 2)"
+
+
+STATUS_ROSTER_SQL = f"""
+WITH logged AS (
+    SELECT DISTINCT reporting_ds, actor_id, status, time_in_status_mins
+    FROM IDENTIFIER(:timestamps) WHERE work_city = :work_city),
+  spent AS (
+    SELECT to_date(reporting_ds) AS spent_day, actor_id,
+      {_STATUS_SUMS}
+    FROM (SELECT *, try_cast(time_in_status_mins AS DOUBLE) AS mins FROM logged)
+    GROUP BY 1, 2),
+  billed AS (
+    SELECT *, try_to_date(`date`, 'MM-dd-yyyy') AS billed_day FROM IDENTIFIER(:billed))
+SELECT {", ".join("r." + c for c in ROSTER_COLUMNS)},
+  {", ".join(f"a.{c} AS iw_{c}" for c in ATTENDANCE_COLUMNS)},
+  round(cast(cast(a.actual_time_min AS FLOAT) AS DOUBLE) / 60, 2) AS iw_actual_time,
+  b.`total hours` AS srtf_total_hrs, b.`completed time` AS srtf_completed_time, b.hc,
+  b.`adjustment types` AS srtf_adjustment_type, b.`date`,
+  {_hours_sql(TOTAL_PARTS)} AS ts_total_hours,
+  {_hours_sql(COMPLETED_PARTS)} AS ts_completed_time
+FROM IDENTIFIER(:roster) AS r
+LEFT JOIN IDENTIFIER(:attendance) AS a ON r.enterprise_id = a.enterprise_id AND r.roster_date = a.shift_date
+LEFT JOIN billed AS b ON r.enterprise_id = b.`enterprise id` AND r.roster_date = b.billed_day
+LEFT JOIN spent AS s ON r.srt_id = s.actor_id AND r.roster_date = s.spent_day
+WHERE r.city = :roster_city AND (:week_ending IS NULL OR r.week_end_date_text = :week_ending)
+"""
+
+
+def status_roster_tables(spark: SparkSession, **args: str | None) -> DataFrame:
+    """The same in SQL, from the catalog tables named by ``roster``, ``attendance``,
+    ``billed`` and ``timestamps``; the other arguments as above."""
+    return spark.sql(STATUS_ROSTER_SQL, args=args)

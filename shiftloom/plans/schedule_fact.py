@@ -26,6 +26,7 @@ from shiftloom.plans import rule_tables as R
 from shiftloom.plans import schedule as S
 
 ROW = "__row"
+TICKET_HEADERS = projection.HEADER_PAIRS[:2]
 LINE = Timeline(keys=["EID", ROW], order=["date"])
 
 # fact column -> roster column, carried over days without a roster row
@@ -160,24 +161,25 @@ def unpivot_sheet(sheet: DataFrame, *, noise: Sequence[str] = (), width: int | N
 
 def forecast_tickets(tickets: DataFrame) -> DataFrame:
     """Tickets to be considered, one row per person."""
-    named = tickets.transform(projection.normalize_headers(R_TICKET_HEADERS)).transform(projection.suffix_headers("_cf"))
+    named = tickets.transform(projection.normalize_headers(TICKET_HEADERS)).transform(projection.suffix_headers("_cf"))
     return named.where(F.col("Ticket_decision_cf") == "Consider in Forecast").transform(
         reshape.unnest_ids("EID_cf", "EID_cf")
     )
 
 
-R_TICKET_HEADERS = projection.HEADER_PAIRS[:2]
-
-
 def exit_events(exits: DataFrame, run_date: dt.date) -> DataFrame:
     """First exit per person, if it is not long past."""
     serial = q("Employment End Date").cast("string").try_cast("double").cast("int")
     known = exits.select(
         q("Enterprise ID").alias("x_id"), dates.serial_to_date(serial).alias("x_end"),
-        *([F.col("ingest_seq")] if "ingest_seq" in exits.columns else []),
+        *_seq(exits),
     ).where(F.col("x_end").isNotNull())
-    order = ["ingest_seq"] if "ingest_seq" in known.columns else ["x_end"]
-    return known.transform(keep_first(["x_id"], order)).where(dates.after_horizon("x_end", run_date, 2))
+    return known.transform(keep_first(["x_id"], _seq(known) or ["x_end"])).where(dates.after_horizon("x_end", run_date, 2))
+
+
+def _seq(df: DataFrame) -> list[str]:
+    """The order of a feed's rows, where it is delivered with one."""
+    return ["ingest_seq"] if "ingest_seq" in df.columns else []
 
 
 def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[EventFeed]:
@@ -190,12 +192,12 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
             "__eff", F.date_add(q("End date"), 1)
         )
         feeds.append(EventFeed("ev_cross", cross, "EID", "__eff",
-                               {"x_unit": "Business Unit", "x_flow": "Training FLOW", "x_eff": "__eff"}))
+                               {"x_unit": "Business Unit", "x_flow": "Training FLOW", "x_eff": "__eff"}, _seq(cross)))
     if inp.exits is not None:
         feeds.append(EventFeed("ev_exit", exit_events(inp.exits, run_date), "x_id", "x_end", {"exit_end": "x_end"}))
     if inp.early_exits is not None:
         early = inp.early_exits.where(dates.after_horizon("exit_date", run_date, 2))
-        feeds.append(EventFeed("ev_early", early, "e_id", "exit_date", {"early_end": "exit_date"}))
+        feeds.append(EventFeed("ev_early", early, "e_id", "exit_date", {"early_end": "exit_date"}, _seq(early)))
     if inp.tickets is not None:
         tickets = forecast_tickets(inp.tickets)
 
@@ -220,7 +222,7 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
             log = log.where(dates.after_horizon("Effective_Date", run_date, v.change_horizon, inclusive=True))
         for t in v.changes:
             feeds.append(EventFeed(f"ev_ch_{t}", log.where(F.col("Change_Type") == t), "e_id", "Effective_Date",
-                                   {f"ch_{t}_eff": "Effective_Date", f"ch_{t}": "New"}))
+                                   {f"ch_{t}_eff": "Effective_Date", f"ch_{t}": "New"}, _seq(log)))
     return feeds
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shiftloom.operators.projection import q
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
