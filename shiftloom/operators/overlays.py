@@ -26,7 +26,8 @@ class EventFeed:
     """Dated events of one kind.
 
     ``payload`` maps output names to feed columns; ``order`` breaks the tie between
-    several events of one entity on one day (the least one is kept).
+    several events of one entity on one day (the least one is kept). Feeds that are
+    told apart by ``where`` on the same frame are read from it in one scan.
     """
 
     name: str
@@ -35,16 +36,45 @@ class EventFeed:
     date: str
     payload: Mapping[str, str]
     order: Sequence[str] = ()
+    where: Column | None = None
 
-    def keyed(self) -> DataFrame:
+    @property
+    def tie(self) -> str:
+        return f"__tie_{self.name}"
+
+    def matches(self) -> Column:
+        known = q(self.entity).isNotNull() & q(self.date).isNotNull()
+        return known if self.where is None else known & self.where
+
+    def fields(self) -> list[Column]:
+        """Entity, day, payload and tie-break of an event."""
         payload = F.struct(*[q(c).alias(o) for o, c in self.payload.items()])
         tie = F.struct(*[q(c) for c in self.order], *[q(c).alias(f"p{i}") for i, c in enumerate(self.payload.values())])
-        return self.df.where(q(self.entity).isNotNull() & q(self.date).isNotNull()).select(
-            q(self.entity).alias(ENTITY),
-            q(self.date).cast("date").alias(DAY),
-            payload.alias(self.name),
-            tie.alias(f"__tie_{self.name}"),
-        )
+        return [
+            q(self.entity).alias(ENTITY), q(self.date).cast("date").alias(DAY),
+            payload.alias(self.name), tie.alias(self.tie),
+        ]
+
+
+def _one_scan(feeds: Sequence[EventFeed]) -> DataFrame:
+    """All events of feeds that share a frame: every row gives one event per feed it matches."""
+    source = feeds[0].df
+    if len(feeds) == 1:
+        return source.where(feeds[0].matches()).select(*feeds[0].fields())
+    types = {f.name: source.select(*f.fields()[2:]).schema for f in feeds}
+
+    def event(f: EventFeed) -> Column:
+        entity, day, payload, tie = f.fields()
+        rest = []
+        for g in feeds:
+            nothing = [F.lit(None).cast(x.dataType).alias(x.name) for x in types[g.name].fields]
+            rest += [payload, tie] if g is f else nothing
+        return F.when(f.matches(), F.struct(entity, day, *rest))
+
+    some = feeds[0].matches()
+    for f in feeds[1:]:
+        some = some | f.matches()
+    return source.where(some).select(F.inline(F.array_compact(F.array(*[event(f) for f in feeds]))))
 
 
 def event_table(feeds: Sequence[EventFeed]) -> DataFrame:
@@ -53,10 +83,11 @@ def event_table(feeds: Sequence[EventFeed]) -> DataFrame:
     All feeds are aggregated in one pass, so that a fact is joined once and not once
     per feed.
     """
-    together = stack(*[f.keyed() for f in feeds])
-    return together.groupBy(ENTITY, DAY).agg(
-        *[F.min_by(f.name, f"__tie_{f.name}").alias(f.name) for f in feeds]
-    )
+    by_frame: dict[int, list[EventFeed]] = {}
+    for f in feeds:
+        by_frame.setdefault(id(f.df), []).append(f)
+    together = stack(*[_one_scan(group) for group in by_frame.values()])
+    return together.groupBy(ENTITY, DAY).agg(*[F.min_by(f.name, f.tie).alias(f.name) for f in feeds])
 
 
 def attach_events(feeds: Sequence[EventFeed], entity: str, date: str):

@@ -240,6 +240,11 @@ WITH logged AS (
       {_STATUS_SUMS}
     FROM (SELECT *, try_cast(time_in_status_mins AS DOUBLE) AS mins FROM logged)
     GROUP BY 1, 2),
+  worked AS (
+    SELECT spent_day, actor_id,
+      {_hours_sql(TOTAL_PARTS)} AS ts_total_hours,
+      {_hours_sql(COMPLETED_PARTS)} AS ts_completed_time
+    FROM spent),
   billed AS (
     SELECT *, try_to_date(`date`, 'MM-dd-yyyy') AS billed_day FROM IDENTIFIER(:billed))
 SELECT {", ".join("r." + c for c in ROSTER_COLUMNS)},
@@ -247,12 +252,11 @@ SELECT {", ".join("r." + c for c in ROSTER_COLUMNS)},
   round(cast(cast(a.actual_time_min AS FLOAT) AS DOUBLE) / 60, 2) AS iw_actual_time,
   b.`total hours` AS srtf_total_hrs, b.`completed time` AS srtf_completed_time, b.hc,
   b.`adjustment types` AS srtf_adjustment_type, b.`date`,
-  {_hours_sql(TOTAL_PARTS)} AS ts_total_hours,
-  {_hours_sql(COMPLETED_PARTS)} AS ts_completed_time
+  w.ts_total_hours, w.ts_completed_time
 FROM IDENTIFIER(:roster) AS r
 LEFT JOIN IDENTIFIER(:attendance) AS a ON r.enterprise_id = a.enterprise_id AND r.roster_date = a.shift_date
 LEFT JOIN billed AS b ON r.enterprise_id = b.`enterprise id` AND r.roster_date = b.billed_day
-LEFT JOIN spent AS s ON r.srt_id = s.actor_id AND r.roster_date = s.spent_day
+LEFT JOIN worked AS w ON r.srt_id = w.actor_id AND r.roster_date = w.spent_day
 WHERE r.city = :roster_city AND (:week_ending IS NULL OR r.week_end_date_text = :week_ending)
 """
 

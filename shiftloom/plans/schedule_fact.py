@@ -3,8 +3,9 @@
 The rows of one sheet row are one timeline: its length is the number of day columns,
 whatever the data. An entity that stands in several sheet rows (the duplicate check
 reports it) has several timelines, so no key can grow beyond a calendar. All fills,
-promotions, look-aheads and weekly sums share the partitioning by timeline: after the
-joins the fact is shuffled once.
+promotions, look-aheads and weekly sums share the partitioning by timeline. The fact is
+shuffled at most twice: by (entity, day) for all joins, unless they are broadcast, and
+by timeline.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules, text
 from shiftloom.operators import filters, projection, reshape
-from shiftloom.operators.joins import late_fallback
 from shiftloom.operators.overlays import EventFeed, attach_events, from_date_on, payload_of
 from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import Timeline, keep_first
@@ -52,6 +52,8 @@ SHEET_ATTRIBUTES = {
     "m_lob": "LOB", "m_flow": "SLOB", "m_role": "ROLE", "m_status": "STATUS", "m_market": "MARKET",
     "m_lead": "SUPERVISOR CURRENT", "m_ops": "OPS", "m_skills": "Flow Skills",
 }
+# fact column -> column of the daily feed
+DAILY_FILLS = {"status_final_AL": "status_final", "rta_status": "status_daily", "rta_status_code": "status_code_daily"}
 SHEET_KEPT = ["NAME", "SRT ID", "WAVE", "ROLL IN DATE", "ROLL OFF DATE", "SupportRole", "SAP ID", "SHIFT BLOCK"]
 OUTPUT_NAMES = {
     "m_role": "ROLE", "m_status": "STATUS", "m_lead": "SUPERVISOR CURRENT", "m_ops": "OPS", "m_market": "MARKET",
@@ -201,28 +203,26 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
     if inp.tickets is not None:
         tickets = forecast_tickets(inp.tickets)
 
-        def kind(name: str) -> DataFrame:
-            return tickets.where(F.col("Forecasted_Change_cf") == name)
+        def ticket(name: str, change: str, date: str, payload: dict[str, str]) -> EventFeed:
+            return EventFeed(name, tickets, "EID_cf", date, payload, ["ID_cf"], F.col("Forecasted_Change_cf") == change)
 
+        leaver = "Managed_attrition_DATE_FORECASTED_cf"
         feeds += [
-            EventFeed("ev_abs", kind("Absenteeism"), "EID_cf", "Start_Date_cf",
-                      {"abs_from": "Start_Date_cf", "abs_to": "End_Date_cf"}, ["ID_cf"]),
-            EventFeed("ev_loa", kind("LOA"), "EID_cf", "Start_Date_cf",
-                      {"loa_from": "Start_Date_cf", "loa_to": "End_Date_cf"}, ["ID_cf"]),
-            EventFeed("ev_attr", kind("Managed Attrition"), "EID_cf", "Managed_attrition_DATE_FORECASTED_cf",
-                      {"attr_from": "Managed_attrition_DATE_FORECASTED_cf"}, ["ID_cf"]),
+            ticket("ev_abs", "Absenteeism", "Start_Date_cf", {"abs_from": "Start_Date_cf", "abs_to": "End_Date_cf"}),
+            ticket("ev_loa", "LOA", "Start_Date_cf", {"loa_from": "Start_Date_cf", "loa_to": "End_Date_cf"}),
+            ticket("ev_attr", "Managed Attrition", leaver, {"attr_from": leaver}),
         ]
         if v.movement:
-            feeds.append(EventFeed("ev_move", kind("Movement"), "EID_cf", "Movement_Effective_Date_cf",
-                                   {"mv_eff": "Movement_Effective_Date_cf", "mv_flow": "To_Slob_cf",
-                                    "mv_market": "To_Market_cf"}, ["ID_cf"]))
+            moved = {"mv_eff": "Movement_Effective_Date_cf", "mv_flow": "To_Slob_cf", "mv_market": "To_Market_cf"}
+            feeds.append(ticket("ev_move", "Movement", "Movement_Effective_Date_cf", moved))
     if inp.change_log is not None:
         log = inp.change_log
         if v.change_horizon is not None:
             log = log.where(dates.after_horizon("Effective_Date", run_date, v.change_horizon, inclusive=True))
         for t in v.changes:
-            feeds.append(EventFeed(f"ev_ch_{t}", log.where(F.col("Change_Type") == t), "e_id", "Effective_Date",
-                                   {f"ch_{t}_eff": "Effective_Date", f"ch_{t}": "New"}, _seq(log)))
+            feeds.append(EventFeed(f"ev_ch_{t}", log, "e_id", "Effective_Date",
+                                   {f"ch_{t}_eff": "Effective_Date", f"ch_{t}": "New"}, _seq(log),
+                                   F.col("Change_Type") == t))
     return feeds
 
 
@@ -235,6 +235,15 @@ def _join_roster(df: DataFrame, roster: DataFrame, tenure: bool) -> DataFrame:
     return df.join(side, (F.col("EID") == F.col("__re")) & (F.col("date") == F.col("__rd")), "left").drop("__re", "__rd")
 
 
+def _join_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
+    """The late feed beside the roster; it is used only where the roster ends up without a status."""
+    side = daily.select(
+        F.col("User_Name_daily").alias("__de"), F.col("Date_daily").cast("date").alias("__dd"),
+        *[q(c).alias(f"__d_{n}") for n, c in DAILY_FILLS.items()],
+    )
+    return df.join(side, (F.col("EID") == F.col("__de")) & (F.col("date") == F.col("__dd")), "left").drop("__de", "__dd")
+
+
 def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "main",
                         null_cells: str = "off") -> DataFrame:
     """The daily schedule fact of one edition; see :data:`VARIANTS`."""
@@ -244,7 +253,7 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
     if null_cells == "off":
         df = df.withColumn("value", F.coalesce(F.col("value"), F.lit(R.NO_SHIFT)))
 
-    # one join per feed family, before the only shuffle by timeline
+    # all joins are on (EID, date): one partitioning for them, one for the timelines
     feeds = event_feeds(inp, v, run_date)
     if v.roster and inp.roster is None:
         raise ValueError(f"variant {variant!r} needs a roster")
@@ -256,6 +265,9 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
                        *[q(c).alias(n) for n, c in SHEET_ATTRIBUTES.items()])
         df = df.withColumns({c: F.lit(None).cast("double" if c.startswith(("srtf", "iw_actual")) else "string")
                              for c in [*ROSTER_DAILY, "m_billable"]})
+    daily = v.daily and inp.daily is not None
+    if daily:
+        df = _join_daily(df, inp.daily)
     if feeds:
         df = df.transform(attach_events(feeds, "EID", "date"))
 
@@ -337,12 +349,8 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
     df = df.transform(S.weekly_coefficient_in_place(LINE.keys, default=v.coefficient_default))
     df = df.withColumn("shift", S.shift_bucket("value"))
 
-    if v.daily and inp.daily is not None:
-        feed = inp.daily.withColumn("Date_daily", F.col("Date_daily").cast("date"))
-        df = df.transform(late_fallback(
-            feed, {"EID": "User_Name_daily", "date": "Date_daily"},
-            {"status_final_AL": "status_final", "rta_status": "status_daily", "rta_status_code": "status_code_daily"},
-        ))
+    if daily:
+        df = df.withColumns({c: rules.first_present(c, f"__d_{c}") for c in DAILY_FILLS})
     if v.merge_units:
         df = df.transform(S.dated_override("PBU", "m_lob", since=v.merge_since))
     return _finish(df, v)

@@ -66,12 +66,19 @@ CELL_SQL = (
 
 
 def user_days(t: Tables) -> DataFrame:
-    """One row per (user, day): events combine before the shuffle, whoever has them."""
+    """One row per (user, day): events combine before the shuffle, whoever has them.
+
+    The alphabetically first kind of the day is found from one number per kind and not
+    as the minimum of a text, which could not be aggregated by hashing.
+    """
+    seen = {k: F.max(F.when(F.col("event_type") == k, F.lit(1))).alias(f"has_{k}") for k in sorted(CELL_OF_KIND)}
     days = (
         t.events.select("user_id", F.col("ts").cast("date").alias("day"), "event_type", "value")
         .groupBy("user_id", "day")
-        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("hours"), F.min("event_type").alias("kind"))
+        .agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("hours"), *seen.values())
     )
+    kind = rules.decision_list([(F.col(f"has_{k}") == 1, k) for k in seen], F.lit(None).cast("string"))
+    days = days.select("user_id", "day", "n", "hours", kind.alias("kind"))
     return days.withColumn("value", rules.value_map("kind", CELL_OF_KIND))
 
 
