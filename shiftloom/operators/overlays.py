@@ -27,7 +27,7 @@ class EventFeed:
 
     ``payload`` maps output names to feed columns; ``order`` breaks the tie between
     several events of one entity on one day (the least one is kept). Feeds that are
-    told apart by ``where`` on the same frame are read from it in one scan.
+    told apart by ``where``, a SQL condition, on the same frame are read in one scan.
     """
 
     name: str
@@ -36,45 +36,34 @@ class EventFeed:
     date: str
     payload: Mapping[str, str]
     order: Sequence[str] = ()
-    where: Column | None = None
+    where: str = "TRUE"
 
     @property
     def tie(self) -> str:
         return f"__tie_{self.name}"
 
-    def matches(self) -> Column:
-        known = q(self.entity).isNotNull() & q(self.date).isNotNull()
-        return known if self.where is None else known & self.where
+    def condition(self) -> str:
+        return f"({self.where}) AND `{self.entity}` IS NOT NULL AND `{self.date}` IS NOT NULL"
 
-    def fields(self) -> list[Column]:
-        """Entity, day, payload and tie-break of an event."""
-        payload = F.struct(*[q(c).alias(o) for o, c in self.payload.items()])
-        tie = F.struct(*[q(c) for c in self.order], *[q(c).alias(f"p{i}") for i, c in enumerate(self.payload.values())])
-        return [
-            q(self.entity).alias(ENTITY), q(self.date).cast("date").alias(DAY),
-            payload.alias(self.name), tie.alias(self.tie),
-        ]
+    def key_sql(self) -> str:
+        return f"'{ENTITY}', `{self.entity}`, '{DAY}', CAST(`{self.date}` AS DATE)"
+
+    def event_sql(self, present: bool = True) -> str:
+        """Payload and tie-break, or typed nulls for an event of another kind."""
+        payload = ", ".join(f"'{o}', `{c}`" for o, c in self.payload.items())
+        tie = ", ".join(f"'o{i}', `{c}`" for i, c in enumerate([*self.order, *self.payload.values()]))
+        columns = {self.name: f"named_struct({payload})", self.tie: f"named_struct({tie})"}
+        return ", ".join(f"'{n}', IF({present}, {v}, NULL)" for n, v in columns.items())
 
 
 def _one_scan(feeds: Sequence[EventFeed]) -> DataFrame:
     """All events of feeds that share a frame: every row gives one event per feed it matches."""
-    source = feeds[0].df
-    if len(feeds) == 1:
-        return source.where(feeds[0].matches()).select(*feeds[0].fields())
-    types = {f.name: source.select(*f.fields()[2:]).schema for f in feeds}
-
-    def event(f: EventFeed) -> Column:
-        entity, day, payload, tie = f.fields()
-        rest = []
-        for g in feeds:
-            nothing = [F.lit(None).cast(x.dataType).alias(x.name) for x in types[g.name].fields]
-            rest += [payload, tie] if g is f else nothing
-        return F.when(f.matches(), F.struct(entity, day, *rest))
-
-    some = feeds[0].matches()
-    for f in feeds[1:]:
-        some = some | f.matches()
-    return source.where(some).select(F.inline(F.array_compact(F.array(*[event(f) for f in feeds]))))
+    events = [
+        f"IF({f.condition()}, named_struct({f.key_sql()}, {', '.join(g.event_sql(g is f) for g in feeds)}), NULL)"
+        for f in feeds
+    ]
+    some = " OR ".join(f"({f.condition()})" for f in feeds)
+    return feeds[0].df.where(some).selectExpr(f"inline(filter(array({', '.join(events)}), e -> e IS NOT NULL))")
 
 
 def event_table(feeds: Sequence[EventFeed]) -> DataFrame:
@@ -102,7 +91,7 @@ def payload_of(feed: EventFeed, atomic: bool = False) -> dict[str, Column]:
     """The columns to carry forward for a feed."""
     if atomic:
         return {f"__whole_{feed.name}": F.col(feed.name)}
-    return {o: F.col(feed.name)[o] for o in feed.payload}
+    return {o: F.col(f"{feed.name}.{o}") for o in feed.payload}
 
 
 def effective_overlay(line: Timeline, feeds: Sequence[EventFeed], entity: str, date: str,

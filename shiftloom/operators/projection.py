@@ -13,14 +13,18 @@ from pyspark.sql import types as T
 HEADER_PAIRS = [(" - ", "_"), (" ", "_"), ("__", "_")]
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def q(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
 
 
 def project(cols: Sequence[str]):
     """Final ordered projection."""
-    return lambda df: df.select(*[q(c) for c in cols])
+    return lambda df: df.select(*[quoted(c) for c in cols])
 
 
 def rename(mapping: Mapping[str, str]):
@@ -50,7 +54,7 @@ def drop_columns(cols: Iterable[str], strict: bool = False):
         missing = [c for c in cols if c not in df.columns]
         if strict and missing:
             raise KeyError(f"columns not found: {missing}")
-        return df.select(*[q(c) for c in df.columns if c not in cols])
+        return df.select(*[quoted(c) for c in df.columns if c not in cols])
 
     return op
 
@@ -58,12 +62,12 @@ def drop_columns(cols: Iterable[str], strict: bool = False):
 def drop_matching(pattern: str):
     """Drops columns whose name contains a match of the pattern."""
     rx = re.compile(pattern)
-    return lambda df: df.select(*[q(c) for c in df.columns if not rx.search(c)])
+    return lambda df: df.select(*[quoted(c) for c in df.columns if not rx.search(c)])
 
 
 def keep_leading(n: int):
     """Drops every column from position ``n`` on."""
-    return lambda df: df.select(*[q(c) for c in df.columns[:n]])
+    return lambda df: df.select(*[quoted(c) for c in df.columns[:n]])
 
 
 def columns_between(df: DataFrame, first: str | None = None, last: str | None = None) -> list[str]:
@@ -76,7 +80,7 @@ def columns_between(df: DataFrame, first: str | None = None, last: str | None =
 
 def column_ranges(*ranges: tuple[str | None, str | None]):
     """Several label ranges of one frame, side by side, in a single projection."""
-    return lambda df: df.select(*[q(c) for lo, hi in ranges for c in columns_between(df, lo, hi)])
+    return lambda df: df.select(*[quoted(c) for lo, hi in ranges for c in columns_between(df, lo, hi)])
 
 
 def insert_constants(inserts: Sequence[tuple[int | None, str, object]]):

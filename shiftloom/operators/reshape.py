@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftloom.operators.projection import columns_between, q
+from shiftloom.operators.projection import columns_between, quoted
 
 
 def unpivot(ids: Sequence[str] | tuple[str, str], values: Sequence[str] | None = None,
@@ -21,8 +21,11 @@ def unpivot(ids: Sequence[str] | tuple[str, str], values: Sequence[str] | None =
     def op(df: DataFrame) -> DataFrame:
         id_cols = columns_between(df, ids[0], ids[1]) if ids_are_range else list(ids)
         cells = [c for c in df.columns if c not in id_cols] if values is None else list(values)
-        texts = df.select(*[q(c) for c in id_cols], *[q(c).cast("string").alias(c) for c in cells])
-        return texts.unpivot([q(c) for c in id_cols], [q(c) for c in cells], variable, value)
+        names = {c: quoted(c) for c in [*id_cols, *cells]}
+        texts = df.selectExpr(
+            *[names[c] for c in id_cols], *[f"CAST({names[c]} AS STRING) AS {names[c]}" for c in cells]
+        )
+        return texts.unpivot([names[c] for c in id_cols], [names[c] for c in cells], variable, value)
 
     return op
 

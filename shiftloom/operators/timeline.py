@@ -135,7 +135,7 @@ class Timeline:
             *[F.lead(cols[o]).over(w).alias(nxt[o]) for o in cols],
             F.lead(F.lit(True)).over(w).alias("__inner"),
         )
-        found = {o: F.col(nxt[o]) for o in cols}
+        found = {o: nxt[o] for o in cols}
         if self.parts:
             ordered = F.struct(*self.order)
             over_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK)
@@ -149,9 +149,9 @@ class Timeline:
                 )
             )
             out = out.join(borders, [*self.keys, *self.parts], "left")
-            found = {o: F.when(F.col("__inner"), found[o]).otherwise(F.col(f"{nxt[o]}_b")) for o in cols}
-        result = {o: F.when(self._keys_present(), F.coalesce(found[o], F.col(cols[o]))) for o in cols}
-        return self._replace(out, result).drop("__inner", *nxt.values(), *[f"{n}_b" for n in nxt.values()])
+            found = {o: f"IF(__inner, {nxt[o]}, {nxt[o]}_b)" for o in cols}
+        result = {o: self._or_null(f"coalesce({found[o]}, `{cols[o]}`)") for o in cols}
+        return out.withColumns(result).drop("__inner", *nxt.values(), *[f"{n}_b" for n in nxt.values()])
 
     def first_where(self, df: DataFrame, cols: Mapping[str, tuple[Column, str]]) -> DataFrame:
         """``{output: (condition, value)}``: least value among the entity's qualifying rows."""
@@ -159,7 +159,7 @@ class Timeline:
         tmp = {o: f"__first_{i}" for i, o in enumerate(cols)}
         w = Window.partitionBy(*self.keys, *self.parts)
         out = df.select("*", *[F.min(picked[o]).over(w).alias(tmp[o]) for o in cols])
-        found = {o: F.col(tmp[o]) for o in cols}
+        found = {o: tmp[o] for o in cols}
         if self.parts:
             over_chunks = Window.partitionBy(*self.keys)
             totals = (
@@ -172,27 +172,25 @@ class Timeline:
                 )
             )
             out = out.join(totals, [*self.keys, *self.parts], "left")
-            found = {o: F.when(F.col(HOT).isNotNull(), F.col(f"{tmp[o]}_b")).otherwise(found[o]) for o in cols}
-        result = {o: F.when(self._keys_present(), found[o]) for o in cols}
-        return self._replace(out, result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
+            found = {o: f"IF({HOT} IS NOT NULL, {tmp[o]}_b, {tmp[o]})" for o in cols}
+        result = {o: self._or_null(found[o]) for o in cols}
+        return out.withColumns(result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
     # -- helpers ----------------------------------------------------------
 
+    def _present_sql(self) -> str:
+        return " AND ".join(f"`{k}` IS NOT NULL" for k in self.keys)
+
     def _keys_present(self) -> Column:
-        cond = F.lit(True)
-        for k in self.keys:
-            cond = cond & F.col(k).isNotNull()
-        return cond
+        return F.expr(self._present_sql())
+
+    def _or_null(self, value: str) -> Column:
+        """The value, except for rows without a key: they belong to no entity."""
+        return F.expr(f"CASE WHEN {self._present_sql()} THEN {value} END")
 
     def _hot_rows(self, df: DataFrame) -> DataFrame:
         return df.where(F.col(HOT).isNotNull())
 
-    @staticmethod
-    def _replace(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
-        """Sets columns, keeping the place of those that exist."""
-        kept = [cols[c].alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns]
-        return df.select(*kept, *[v.alias(c) for c, v in cols.items() if c not in df.columns])
-
     def _fill(self, df: DataFrame, cols: Mapping[str, Column | str], forward: bool,
               exclusive: bool = False) -> DataFrame:
         values = {o: F.col(f"`{v}`") if isinstance(v, str) else v for o, v in cols.items()}
@@ -206,7 +204,7 @@ class Timeline:
             .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
         )
         local = df.select("*", *[F.last(values[o], ignorenulls=True).over(rows).alias(tmp[o]) for o in cols])
-        found = {o: F.col(tmp[o]) for o in cols}
+        found = {o: tmp[o] for o in cols}
         if self.parts:
             at_border = F.max_by if forward else F.min_by
             ordered = F.struct(*self.order)
@@ -225,9 +223,9 @@ class Timeline:
                 )
             )
             local = local.join(borders, [*self.keys, *self.parts], "left")
-            found = {o: F.coalesce(found[o], F.col(f"{tmp[o]}_b")) for o in cols}
-        result = {o: F.when(self._keys_present(), found[o]) for o in cols}
-        return self._replace(local, result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
+            found = {o: f"coalesce({tmp[o]}, {tmp[o]}_b)" for o in cols}
+        result = {o: self._or_null(found[o]) for o in cols}
+        return local.withColumns(result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
 
 # -- one-step forms ----------------------------------------------------------

@@ -204,7 +204,7 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
         tickets = forecast_tickets(inp.tickets)
 
         def ticket(name: str, change: str, date: str, payload: dict[str, str]) -> EventFeed:
-            return EventFeed(name, tickets, "EID_cf", date, payload, ["ID_cf"], F.col("Forecasted_Change_cf") == change)
+            return EventFeed(name, tickets, "EID_cf", date, payload, ["ID_cf"], f"Forecasted_Change_cf = '{change}'")
 
         leaver = "Managed_attrition_DATE_FORECASTED_cf"
         feeds += [
@@ -222,24 +222,24 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
         for t in v.changes:
             feeds.append(EventFeed(f"ev_ch_{t}", log, "e_id", "Effective_Date",
                                    {f"ch_{t}_eff": "Effective_Date", f"ch_{t}": "New"}, _seq(log),
-                                   F.col("Change_Type") == t))
+                                   f"Change_Type = '{t}'"))
     return feeds
 
 
 def _join_roster(df: DataFrame, roster: DataFrame, tenure: bool) -> DataFrame:
     wanted = {**ROSTER_CARRIED, **(ROSTER_TENURE if tenure else {})}
-    side = roster.select(
-        F.col("enterprise_id").alias("__re"), F.col("roster_date").cast("date").alias("__rd"),
-        *[q(c).alias(n) for n, c in wanted.items()], *[q(c) for c in ROSTER_DAILY],
+    side = roster.selectExpr(
+        "enterprise_id AS __re", "CAST(roster_date AS DATE) AS __rd",
+        *[f"`{c}` AS {n}" for n, c in wanted.items()], *ROSTER_DAILY,
     )
     return df.join(side, (F.col("EID") == F.col("__re")) & (F.col("date") == F.col("__rd")), "left").drop("__re", "__rd")
 
 
 def _join_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
     """The late feed beside the roster; it is used only where the roster ends up without a status."""
-    side = daily.select(
-        F.col("User_Name_daily").alias("__de"), F.col("Date_daily").cast("date").alias("__dd"),
-        *[q(c).alias(f"__d_{n}") for n, c in DAILY_FILLS.items()],
+    side = daily.selectExpr(
+        "User_Name_daily AS __de", "CAST(Date_daily AS DATE) AS __dd",
+        *[f"`{c}` AS __d_{n}" for n, c in DAILY_FILLS.items()],
     )
     return df.join(side, (F.col("EID") == F.col("__de")) & (F.col("date") == F.col("__dd")), "left").drop("__de", "__dd")
 
@@ -258,11 +258,12 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
     if v.roster and inp.roster is None:
         raise ValueError(f"variant {variant!r} needs a roster")
     if v.roster:
-        df = df.select("EID", ROW, *[q(c) for c in SHEET_KEPT if c in df.columns], "date", "week_ending", "value")
+        kept = [f"`{c}`" for c in SHEET_KEPT if c in df.columns]
+        df = df.select("EID", ROW, *kept, "date", "week_ending", "value")
         df = _join_roster(df, inp.roster, v.tenure)
     else:
-        df = df.select("EID", ROW, *[q(c) for c in SHEET_KEPT], "date", "week_ending", "value",
-                       *[q(c).alias(n) for n, c in SHEET_ATTRIBUTES.items()])
+        renamed = [f"`{c}` AS {n}" for n, c in SHEET_ATTRIBUTES.items()]
+        df = df.selectExpr("EID", ROW, *[f"`{c}`" for c in SHEET_KEPT], "date", "week_ending", "value", *renamed)
         df = df.withColumns({c: F.lit(None).cast("double" if c.startswith(("srtf", "iw_actual")) else "string")
                              for c in [*ROSTER_DAILY, "m_billable"]})
     daily = v.daily and inp.daily is not None

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # No stack trace per column expression: plans of this library have hundreds.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
