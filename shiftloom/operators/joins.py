@@ -1,8 +1,14 @@
 """Joins.
 
-No join here carries a broadcast hint on a side that grows with the data: Spark
-broadcasts a side whose size, known from statistics or measured at run time, is
-below its threshold, and otherwise sort-merges with skewed partitions split.
+Three ways, by what is known of the sides:
+
+* plain joins of two scans are left to Spark: it broadcasts a side whose known or
+  measured size is below its threshold, and else splits skewed partitions;
+* short lists (codes, statuses), whose few values each hold a large part of the fact,
+  are broadcast after their rows have been counted up to a limit;
+* sides that come out of an aggregation are joined by :func:`spread_join`: adaptive
+  execution does not split skewed partitions of such a join, so the rows of hot keys
+  are spread over slices and the one matching row is repeated for each slice.
 """
 
 from __future__ import annotations
@@ -16,6 +22,18 @@ from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import keep_first
 
 
+LIST_ROWS = 50_000
+
+
+def counted_broadcast(table: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
+    """The table to be broadcast if it has at most ``max_rows`` rows, else as it is.
+
+    Runs a job that stops counting after the limit. A longer table is left to the
+    shuffle join, whose skewed partitions are split.
+    """
+    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+
+
 def left_join(right: DataFrame, on: Sequence[str], null_safe: bool = False):
     """Left join on columns of equal name, kept once.
 
@@ -48,16 +66,70 @@ def left_join_on(right: DataFrame, keys: Mapping[str, str]):
     return op
 
 
+ROWS_PER_SLICE = 2_000_000
+KEYLESS_SLICES = 4096
+SLICES, SLICE = "__slices", "__slice"
+
+
+def hot_slices(counts: DataFrame, keys: Sequence[str], rows: str = "__n", per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Keys with more than ``per_slice`` rows and the number of slices they need.
+
+    At most ``all rows / per_slice`` keys, which is what bounds its broadcast.
+    """
+    return counts.where(F.col(rows) > per_slice).select(*keys, F.ceil(F.col(rows) / per_slice).cast("int").alias(SLICES))
+
+
+def row_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.dropna("any", subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def spread(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """Adds the slice of every row: 0 but for hot keys and rows without a key.
+
+    A slice follows from the number of the reading task: that is the same again if the
+    task is repeated, and tells equal rows apart as well as different ones.
+    """
+    keyless = " OR ".join(f"`{k}` IS NULL" for k in keys)
+    slice_sql = f"pmod(spark_partition_id(), CASE WHEN {keyless} THEN {KEYLESS_SLICES} ELSE coalesce({SLICES}, 1) END)"
+    return df.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, F.expr(slice_sql)).drop(SLICES)
+
+
+def repeat(side: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """One copy of every row for each slice of its key."""
+    slices = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(SLICES), F.lit(1)) - 1))
+    return side.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, slices).drop(SLICES)
+
+
+def spread_join(df: DataFrame, side: DataFrame, keys: Sequence[str], counts: DataFrame | None = None,
+                per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """Left join, on columns of equal name, with a side that has one row per key.
+
+    ``counts`` gives the rows of ``df`` per key (column ``__n``) where the caller has
+    aggregated them anyway.
+    """
+    keys = list(keys)
+    hot = hot_slices(row_counts(df, keys) if counts is None else counts, keys, per_slice=per_slice)
+    return spread(df, keys, hot).join(repeat(side, keys, hot), [*keys, SLICE], "left").drop(SLICE)
+
+
 def lookup(table: DataFrame, key: str, lookup_key: str, cols: Mapping[str, str],
-           order: Sequence[str] | None = None):
+           order: Sequence[str] | None = None, max_rows: int = LIST_ROWS):
     """Attributes ``{lookup column: output}`` of a keyed table.
 
     With ``order`` the table is first cut to one row per key, so that the lookup
-    cannot multiply rows.
+    cannot multiply rows. A short table is broadcast, see :func:`counted_broadcast`; a
+    longer one is joined by slices if it has been cut, else by a plain join.
     """
     unique = table.transform(keep_first([lookup_key], order)) if order else table
     side = unique.select(q(lookup_key).alias("__lk"), *[q(c).alias(o) for c, o in cols.items()])
-    return lambda df: df.join(side, q(key) == F.col("__lk"), "left").drop("__lk")
+    listed = counted_broadcast(side, max_rows)
+
+    def op(df: DataFrame) -> DataFrame:
+        if listed is side and order:
+            return spread_join(df.withColumn("__lk", q(key)), side, ["__lk"]).drop("__lk")
+        return df.join(listed, q(key) == F.col("__lk"), "left").drop("__lk")
+
+    return op
 
 
 def member_flag(other: DataFrame, key: str, other_key: str, out: str):
@@ -65,24 +137,27 @@ def member_flag(other: DataFrame, key: str, other_key: str, out: str):
     keys = other.select(q(other_key).alias("__mk")).where(F.col("__mk").isNotNull()).distinct()
 
     def op(df: DataFrame) -> DataFrame:
-        joined = df.join(keys, q(key) == F.col("__mk"), "left")
-        return joined.withColumn(out, F.col("__mk").isNotNull().cast("int")).drop("__mk")
+        joined = spread_join(df.withColumn("__mk", q(key)), keys.withColumn("__hit", F.lit(1)), ["__mk"])
+        return joined.withColumn(out, F.coalesce(F.col("__hit"), F.lit(0))).drop("__mk", "__hit")
 
     return op
 
 
-def join_back(keys: Sequence[str], aggs: Mapping[str, Column], where: Column | None = None):
+def join_back(keys: Sequence[str], aggs: Mapping[str, Column], where: Column | None = None,
+              per_slice: int = ROWS_PER_SLICE):
     """Group totals attached to every row.
 
     Aggregated with map-side combine and joined back, not windowed: a window would
-    hold all rows of a key in one task. A hot key's rows are split by the skew join,
-    as the totals have one row per key.
+    hold all rows of a key in one task.
     """
 
     def op(df: DataFrame) -> DataFrame:
-        rows = df if where is None else df.where(where)
-        totals = rows.dropna("any", subset=list(keys)).groupBy(*keys).agg(*[a.alias(c) for c, a in aggs.items()])
-        return df.join(totals, list(keys), "left")
+        kept = df.dropna("any", subset=list(keys))
+        if where is None:
+            totals = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[a.alias(c) for c, a in aggs.items()])
+            return spread_join(df, totals.drop("__n"), keys, totals.select(*keys, "__n"), per_slice)
+        totals = kept.where(where).groupBy(*keys).agg(*[a.alias(c) for c, a in aggs.items()])
+        return spread_join(df, totals, keys, per_slice=per_slice)
 
     return op
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions import rules
+from shiftloom.operators.joins import SLICE, repeat
 from shiftloom.operators.projection import q
 from shiftloom.operators.sets import stack
 from shiftloom.operators.timeline import Timeline
@@ -79,12 +80,17 @@ def event_table(feeds: Sequence[EventFeed]) -> DataFrame:
     return together.groupBy(ENTITY, DAY).agg(*[F.min_by(f.name, f.tie).alias(f.name) for f in feeds])
 
 
-def attach_events(feeds: Sequence[EventFeed], entity: str, date: str):
-    """Adds the struct column of every feed on the days that have an event."""
-    events = event_table(feeds)
-    return lambda df: df.join(
-        events, (q(entity) == F.col(ENTITY)) & (q(date) == F.col(DAY)), "left"
-    ).drop(ENTITY, DAY)
+def attach_events(feeds: Sequence[EventFeed], entity: str, date: str, hot: DataFrame | None = None):
+    """Adds the struct column of every feed on the days that have an event.
+
+    ``hot`` is for facts that may repeat an (entity, day) without bound and have been
+    :func:`~shiftloom.operators.joins.spread`: the slices of their entities.
+    """
+    events = event_table(feeds).withColumnsRenamed({ENTITY: entity, DAY: date})
+    on = [entity, date]
+    if hot is not None:
+        events, on = repeat(events, [entity], hot), [*on, SLICE]
+    return lambda df: df.join(events, on, "left")
 
 
 def payload_of(feed: EventFeed, atomic: bool = False) -> dict[str, Column]:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules, text
+from shiftloom.operators.joins import counted_broadcast, spread_join
 from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import Timeline
 from shiftloom.plans import rule_tables as R
@@ -63,7 +64,7 @@ def flag_columns(value: Column | str, group: Column | str, null_cells: str = "of
 
 def code_groups_of(codes: DataFrame, value: str, out: str = "codes_group"):
     """Adds the group of each cell; cells that are not on the code list get none."""
-    side = codes.select(F.col("code").alias("__code"), F.col("codes_group").alias(out))
+    side = counted_broadcast(codes.select(F.col("code").alias("__code"), F.col("codes_group").alias(out)))
     return lambda df: df.join(side, q(value) == F.col("__code"), "left").drop("__code")
 
 
@@ -356,10 +357,10 @@ def weekly_coefficient(entity: str = "EID", week: str = "week_ending", date: str
         daily = (
             df.dropna("any", subset=[entity, week, date])
             .groupBy(entity, week, date)
-            .agg(F.sum(schedule).alias("__s"), F.sum(leave).alias("__l"))
+            .agg(F.sum(schedule).alias("__s"), F.sum(leave).alias("__l"), F.count(F.lit(1)).alias("__n"))
         )
         weights = _coefficient(daily, [entity, week], date, "__s", "__l", default, out)
-        return df.join(weights.select(entity, date, out), [entity, date], "left")
+        return spread_join(df, weights.select(entity, date, out), [entity, date], daily.select(entity, date, "__n"))
 
     return op
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules, text
 from shiftloom.operators import filters, projection, reshape
+from shiftloom.operators.joins import SLICE, hot_slices, repeat, row_counts, spread
 from shiftloom.operators.overlays import EventFeed, attach_events, from_date_on, payload_of
 from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import Timeline, keep_first
@@ -226,22 +227,22 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
     return feeds
 
 
-def _join_roster(df: DataFrame, roster: DataFrame, tenure: bool) -> DataFrame:
+def _join_roster(df: DataFrame, roster: DataFrame, tenure: bool, hot: DataFrame) -> DataFrame:
     wanted = {**ROSTER_CARRIED, **(ROSTER_TENURE if tenure else {})}
     side = roster.selectExpr(
-        "enterprise_id AS __re", "CAST(roster_date AS DATE) AS __rd",
+        "enterprise_id AS EID", "CAST(roster_date AS DATE) AS date",
         *[f"`{c}` AS {n}" for n, c in wanted.items()], *ROSTER_DAILY,
     )
-    return df.join(side, (F.col("EID") == F.col("__re")) & (F.col("date") == F.col("__rd")), "left").drop("__re", "__rd")
+    return df.join(repeat(side, ["EID"], hot), ["EID", "date", SLICE], "left")
 
 
-def _join_daily(df: DataFrame, daily: DataFrame) -> DataFrame:
+def _join_daily(df: DataFrame, daily: DataFrame, hot: DataFrame) -> DataFrame:
     """The late feed beside the roster; it is used only where the roster ends up without a status."""
     side = daily.selectExpr(
-        "User_Name_daily AS __de", "CAST(Date_daily AS DATE) AS __dd",
+        "User_Name_daily AS EID", "CAST(Date_daily AS DATE) AS date",
         *[f"`{c}` AS __d_{n}" for n, c in DAILY_FILLS.items()],
     )
-    return df.join(side, (F.col("EID") == F.col("__de")) & (F.col("date") == F.col("__dd")), "left").drop("__de", "__dd")
+    return df.join(repeat(side, ["EID"], hot), ["EID", "date", SLICE], "left")
 
 
 def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "main",
@@ -253,14 +254,17 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
     if null_cells == "off":
         df = df.withColumn("value", F.coalesce(F.col("value"), F.lit(R.NO_SHIFT)))
 
-    # all joins are on (EID, date): one partitioning for them, one for the timelines
+    # All joins are on (EID, date, slice): one partitioning for them, one for the timelines.
+    # An entity with very many sheet rows, such as a placeholder for vacancies, has slices.
+    entities = inp.sheet.select(F.lower(q("EID")).alias("EID"))
+    hot = hot_slices(row_counts(entities, ["EID"]), ["EID"])
     feeds = event_feeds(inp, v, run_date)
     if v.roster and inp.roster is None:
         raise ValueError(f"variant {variant!r} needs a roster")
     if v.roster:
         kept = [f"`{c}`" for c in SHEET_KEPT if c in df.columns]
         df = df.select("EID", ROW, *kept, "date", "week_ending", "value")
-        df = _join_roster(df, inp.roster, v.tenure)
+        df = _join_roster(spread(df, ["EID"], hot), inp.roster, v.tenure, hot)
     else:
         renamed = [f"`{c}` AS {n}" for n, c in SHEET_ATTRIBUTES.items()]
         df = df.selectExpr("EID", ROW, *[f"`{c}`" for c in SHEET_KEPT], "date", "week_ending", "value", *renamed)
@@ -268,9 +272,11 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
                              for c in [*ROSTER_DAILY, "m_billable"]})
     daily = v.daily and inp.daily is not None
     if daily:
-        df = _join_daily(df, inp.daily)
+        df = _join_daily(df, inp.daily, hot)
     if feeds:
-        df = df.transform(attach_events(feeds, "EID", "date"))
+        df = df if v.roster else spread(df, ["EID"], hot)
+        df = df.transform(attach_events(feeds, "EID", "date", hot))
+    df = df.drop(SLICE)
 
     # everything that is carried forward, in one window
     carried = {o: c for f in feeds for o, c in payload_of(f).items()}

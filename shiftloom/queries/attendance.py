@@ -95,7 +95,7 @@ _ATTENDANCE = "CASE {kind} WHEN 'click' THEN 'Work' WHEN 'view' THEN 'Leave, unp
 
 
 def status_map(t: Tables) -> DataFrame:
-    return F.broadcast(t.spark.createDataFrame(STATUS_ROWS, schemas.STATUS_MAP))  # fixed rows
+    return t.spark.createDataFrame(STATUS_ROWS, schemas.STATUS_MAP)
 
 
 _CLEAN = "replace(CASE WHEN contains({s}, '1B - SICK LEAVE' || chr(10)) THEN '1B - SICK LEAVE' ELSE {s} END, '12-', '12 -')"
