@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules
 from shiftloom.operators.aggregates import COMPLETED_PARTS, STATUS_COLUMNS, TOTAL_PARTS
+from shiftloom.operators.timeline import keep_first
 from shiftloom.plans import feeds, roster
 from shiftloom.plans import rule_tables as R
 from shiftloom.plans.snapshot import snapshot_fact as take_snapshot
@@ -114,19 +115,19 @@ def adjustments(t: Tables) -> DataFrame:
 
 
 def sheets(t: Tables) -> DataFrame:
-    """Update sheets; a user may stand in them several times for a day."""
+    """Update sheets; a user may stand in them with several statuses for a day."""
     rows = t.events.select(
         F.col("user_id").alias("Username"), event_day().alias("Date"),
         F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("Status Final"), "event_type",
-    )
+    ).distinct()
     return roster.update_sheets(
         *[rows.where(F.col("event_type") == k).drop("event_type") for k in ("purchase", "signup")]
     )
 
 
 _SHEETS_SQL = (
-    "sheets AS (SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN event_id % 3 > 0 THEN event_type END AS fallback "
-    "FROM events WHERE event_type IN ('purchase', 'signup'))"
+    "sheets AS (SELECT user_id, day, fallback FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, event_type, "
+    "CASE WHEN event_id % 3 > 0 THEN event_type END AS fallback FROM events WHERE event_type IN ('purchase', 'signup')))"
 )
 
 
@@ -302,14 +303,18 @@ def _parts(parts: list[str]) -> str:
     return "round((" + " + ".join(f'coalesce("{p}", 0.0)' for p in present) + ") / 60, 2)"
 
 
+_ONCE = "QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) = 1"
+
+
 @query(
     "roster_fact_sql",
     f"""
     WITH {USER_DAYS_SQL},
     attendance AS (SELECT 'u' || user_id AS who, CAST(ts AS DATE) AS shift_date, event_type AS highlevel_status,
-      nullif(event_id % 4, 0) AS updated, 6 * floor(value) AS mins, event_id FROM events WHERE event_type = 'signup'),
+      nullif(event_id % 4, 0) AS updated, 6 * floor(value) AS mins, event_id FROM events WHERE event_type = 'signup'
+      {_ONCE}),
     billed AS (SELECT 'u' || user_id AS who, CAST(ts AS DATE) AS bday, strftime(ts, '%m-%d-%Y') AS date, value, event_id
-      FROM events WHERE event_type = 'purchase'),
+      FROM events WHERE event_type = 'purchase' {_ONCE}),
     logged AS (SELECT DISTINCT CAST(ts AS DATE) AS sday, user_id, {_STATUS_OF_SQL} AS status, floor(value / 10) AS mins FROM events
       WHERE event_id % 6 <> 0),
     spent AS (SELECT sday, user_id, {', '.join(f'sum(mins) FILTER (WHERE status = {s!r}) AS "{c}"' for c, s in STATUS_COLUMNS.items() if s in _STATUS_OF.values())}
@@ -344,7 +349,9 @@ def roster_fact_sql(t: Tables) -> DataFrame:
 
 
 def roster_tables(t: Tables) -> dict[str, DataFrame]:
-    """The four warehouse tables, cut from events."""
+    """The four warehouse tables, cut from events: attendance and billed hours hold a row per (user, day)."""
+    once = keep_first(["user_id", "day"], ["event_id"])
+    firsts = t.events.withColumn("day", event_day())
     who = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     text_day, kind = F.date_format("ts", "MM-dd-yyyy"), F.col("event_type")
     value, lead = F.col("value"), F.col("kind")
@@ -358,14 +365,14 @@ def roster_tables(t: Tables) -> dict[str, DataFrame]:
         F.when(lead == "view", F.lit("outside")).otherwise(F.lit("inside")).alias("city"),
     )
     iso_day = event_day().cast("string")
-    attendance = t.events.where(kind == "signup").select(
+    attendance = firsts.where(kind == "signup").transform(once).select(
         kind.alias("highlevel_status"), F.nullif(F.col("event_id") % 4, F.lit(0)).cast("string").alias("updated_status"),
         kind.alias("attendance_status"), F.col("event_id").cast("string").alias("srt_id"), who.alias("enterprise_id"),
         event_day().alias("shift_date"), kind.alias("shift_status"), kind.alias("system_status"), iso_day.alias("date_txt"),
         iso_day.alias("week_end_date_txt"), F.date_format("ts", "yyyy-MM").alias("report_month"),
         (6 * F.floor("value")).cast("string").alias("actual_time_min"),
     )
-    billed = t.events.where(kind == "purchase").select(
+    billed = firsts.where(kind == "purchase").transform(once).select(
         who.alias("enterprise id"), text_day.alias("date"), value.alias("total hours"), value.alias("completed time"),
         (F.col("event_id") % 3).cast("int").alias("hc"), F.lit("none").alias("adjustment types"),
     )

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules
+from shiftloom.operators.joins import join_back
 from shiftloom.plans import rule_tables as R
 from shiftloom.plans import schedule as S
 from shiftloom.plans import schedule_fact as SF
 from shiftloom.queries.overlays import carry, dated_sql
-from shiftloom.queries.registry import RUN_DATE, USER_DAYS_SQL, Tables, query, user_days, week_sql
+from shiftloom.queries.registry import DAY_LINE, RUN_DATE, USER_DAYS_SQL, Tables, query, user_days, week_sql
 from shiftloom.session import scratch_path
 
 # -- single rules -----------------------------------------------------------------
@@ -55,8 +56,6 @@ def absence_flag(t: Tables) -> DataFrame:
     """,
 )
 def tenure_class(t: Tables) -> DataFrame:
-    from shiftloom.queries.registry import DAY_LINE
-
     user = F.col("user_id")
     people = user_days(t).select(
         "user_id", "day",
@@ -94,8 +93,8 @@ def coefficient_sql(total: str, days: str, mark: str, sched: str, leave: str, fr
 def weekly_coefficient(t: Tables) -> DataFrame:
     """On raw events: the first event of a day decides whether it counts as work or leave."""
     rows = t.events.select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "event_type")
-    firsts = rows.groupBy("user_id", "day").agg(F.min("event_id").alias("first_id"))
-    marked = rows.join(firsts, ["user_id", "day"]).withColumn("week", dates.week_ending_friday("day"))
+    marked = rows.transform(join_back(["user_id", "day"], {"first_id": F.min("event_id")}))
+    marked = marked.withColumn("week", dates.week_ending_friday("day"))
     first, leave = F.col("event_id") == F.col("first_id"), F.col("event_type") == "error"
     cells = marked.withColumns({"s": rules.flag(first & ~leave), "l": rules.flag(first & leave)})
     weighed = cells.transform(S.weekly_coefficient("user_id", "week", "day", "s", "l", out="wsc"))
