@@ -320,19 +320,15 @@ def coefficient_rules(total: Column, days: Column, mark: Column, schedule: Colum
     )
 
 
-def _week_windows(keys: Sequence[str], date: str):
-    week = Window.partitionBy(*keys)
-    ahead = week.orderBy(F.col(date).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return week, ahead
-
-
 def _coefficient(df: DataFrame, keys: Sequence[str], date: str, schedule: str, leave: str,
                  default: float | None, out: str) -> DataFrame:
-    week, ahead = _week_windows(keys, date)
+    """``keys`` end with the Saturday-to-Friday week. Its Friday comes last, so a mark
+    filled backwards from there reaches every day of the week: it is the week's maximum."""
+    week = Window.partitionBy(*keys)
     friday_leave = (F.weekday(F.col(date)) == 4) & (F.col(leave) == 1) & (F.col("__days") == 4)
     return (
         df.withColumns({"__days": F.sum(schedule).over(week), "__off": F.sum(leave).over(week)})
-        .withColumn("__mark", F.last(F.when(friday_leave, F.lit(1)), ignorenulls=True).over(ahead))
+        .withColumn("__mark", F.max(F.when(friday_leave, F.lit(1))).over(week))
         .withColumn(
             out,
             coefficient_rules(

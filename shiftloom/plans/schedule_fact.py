@@ -152,14 +152,16 @@ def unpivot_sheet(sheet: DataFrame, *, noise: Sequence[str] = (), width: int | N
         wide = wide.transform(projection.keep_leading(width))
     ids = projection.columns_between(wide, first, last)
     days = [c for c in wide.columns if c not in ids]
-    long = wide.withColumn(ROW, F.monotonically_increasing_id()).transform(reshape.unpivot([*ids, ROW], days))
-    return long.withColumns(
+    # texts of a person are made once per sheet row, not once per day
+    wide = wide.withColumns(
         {
             "EID": F.lower(q("EID")),
             "SRT ID": text.strip_float_suffix(F.concat(F.lit("#"), q("SRT ID").cast("string"))),
-            "date": dates.header_to_date("date"),
+            ROW: F.monotonically_increasing_id(),
         }
-    ).withColumn("week_ending", dates.week_ending_friday("date"))
+    )
+    long = wide.transform(reshape.unpivot([*ids, ROW], days))
+    return long.withColumn("date", dates.header_to_date("date")).withColumn("week_ending", dates.week_ending_friday("date"))
 
 
 def forecast_tickets(tickets: DataFrame) -> DataFrame:
