@@ -92,7 +92,7 @@ user_days AS (
 DAY_LINE = Timeline(["user_id"], ["day"])
 
 
-def event_line(*cols: str) -> Timeline:
+def event_line() -> Timeline:
     """Raw events of a user in reading order: any number of rows, so cut where hot."""
     return Timeline(
         ["user_id"], ["ts", "event_id"],

@@ -19,13 +19,17 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Static settings: only a session that is being built can take them.
+STATIC = {
     # No stack trace per column expression: plans of this library have hundreds.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set every default the session does not set itself."""
+    """Set every runtime default the session does not set itself."""
     explicit = dict(spark.sparkContext.getConf().getAll())
     for key, value in DEFAULTS.items():
         if key not in explicit and spark.conf.get(key, None) != value:
@@ -42,7 +46,7 @@ def build_session(app_name: str = "shiftloom", cores: int | str = "*", **conf: s
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in {**DEFAULTS, **conf}.items():
+    for key, value in {**DEFAULTS, **STATIC, **conf}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
@@ -59,9 +63,4 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="shiftloom-")
-        spark.conf.set("spark.checkpoint.dir", base) if _settable(spark) else None
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def _settable(spark: SparkSession) -> bool:
-    return bool(spark.conf.isModifiable("spark.checkpoint.dir"))

@@ -94,3 +94,13 @@ def test_scratch_folder_is_the_one_of_the_session(spark):
 def test_schemas():
     assert schemas.sheet(["45290"]).names[-2:] == ["SHIFT BLOCK", "45290"] and len(schemas.SHEET_STATIC) == 17
     assert len(schemas.BILLED_HOURS_COLUMNS) == 26 and len(schemas.WEEKLY_ROSTER_COLUMNS) == 17
+
+
+def test_runtime_defaults_can_be_set_on_any_session(spark):
+    from shiftloom.session import DEFAULTS, STATIC, configure
+
+    assert all(spark.conf.isModifiable(k) for k in DEFAULTS) and not any(spark.conf.isModifiable(k) for k in STATIC)
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "false")
+    configure(spark)  # what the session was built with is left alone
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "false"
+    spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
