@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -58,9 +59,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Data written between two stages must be readable by every executor and must
     outlive any of them, so the parent is ``spark.checkpoint.dir``. Only where a
-    session names none (tests, a laptop) a temporary folder stands in for it.
+    local session names none (tests, a laptop) a temporary folder stands in for it;
+    on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         base = tempfile.mkdtemp(prefix="shiftloom-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
