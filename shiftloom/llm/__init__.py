@@ -2,3 +2,11 @@
 
 Nothing else in the library imports this package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors need no copy of
+# this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftloom.llm import simhash
+from shiftloom.llm import simhash, substring
 from shiftloom.llm.frames import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFram
 @query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir))
+
+
+@query
+def op3_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring.remove_repeats(table(spark, sf_dir), "doc_id")
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+SQL["op3_substring"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+spots AS (SELECT r, words, unnest(range(1, len(words) - 33)) AS i FROM split WHERE len(words) >= 35),
+windows AS (SELECT r, i, array_to_string(words[i:i + 34], ' ') AS w FROM spots),
+twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT r, i FROM windows WHERE w IN (SELECT w FROM twice)),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM hit),
+sets AS (SELECT r, list(p) AS ps FROM gone GROUP BY r),
+each_word AS (SELECT r, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS p FROM split),
+kept AS (
+  SELECT e.r, string_agg(e.w, ' ' ORDER BY e.p) AS t
+  FROM each_word e LEFT JOIN gone g ON e.r = g.r AND e.p = g.p WHERE g.r IS NULL GROUP BY e.r)
+SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(coalesce(len(x.ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM split s LEFT JOIN sets x ON s.r = x.r LEFT JOIN kept k ON s.r = k.r
+"""
