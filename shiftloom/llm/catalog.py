@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import simhash, substring
+from shiftloom.llm import mixing, quality, sharding, simhash, substring
 from shiftloom.llm.frames import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,18 @@ SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(coalesce(len(x.ps
        sha256(coalesce(k.t, '')) AS kept_sha256
 FROM split s LEFT JOIN sets x ON s.r = x.r LEFT JOIN kept k ON s.r = k.r
 """
+
+
+@query
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.manifest(table(spark, sf_dir))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir))
