@@ -26,7 +26,7 @@ SKETCH = 1024  # k of the sketches: ranks are right to about a third of a percen
 GROUP = 200  # rows from which a group has thresholds of its own
 SPREAD = 6.0  # distances between the quartiles above the upper one
 # Metrics, and what a value may exceed the quartile by where all values are alike.
-METRICS = {"symbol_share": 0.02, "upper_share": 0.10, "repeat_share": 0.05, "line_share": 0.35}
+METRICS = {"symbol_share": 0.02, "upper_share": 0.10, "repeat_share": 0.15, "line_share": 0.35}
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
