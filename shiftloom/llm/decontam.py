@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from shiftloom.llm.bloom import Bloom
 from shiftloom.llm.frames import prepare, written
-from shiftloom.llm.words import Spans, mix, texts, word_blocks
+from shiftloom.llm.words import Spans, mix, normal, texts, word_blocks
 
 # Fixed masks: six compared words in windows of up to eleven.
 MASKS = ("111111", "11011011", "1110010101", "10110001011", "11001010011")
@@ -43,14 +43,6 @@ def masked(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(h)
 
 
-def normal(data: bytes) -> bytes:
-    """What is compared: lower case, and words without the punctuation around them."""
-    return data.decode("utf-8", "replace").lower().translate(_BLANK).encode()
-
-
-_BLANK = {ord(c): " " for c in "\"'`.,;:!?()[]{}<>|*_~#-–—‘’“”«»¡¿…"}
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return Spans(words).hashes(np.arange(len(words)), 1)
 
