@@ -280,7 +280,9 @@ def transitions(matrix: np.ndarray, rare: np.ndarray, k: int, alpha: float) -> n
     after, follow, both = rare[:k + 1], rare[k + 1:2 * k + 2], rare[2 * k + 2]
     rows = np.vstack((matrix, follow)).astype(float)
     unknown = (np.append(after, both) + 0.5) / (rows.sum(1) + 1)
-    smooth = (rows + alpha) / (rows.sum(1, keepdims=True) + alpha * (k + 1))
+    used = matrix.sum(0) > 0  # a class without words gets nothing
+    smooth = (rows + alpha * used) / np.maximum(rows.sum(1, keepdims=True) + alpha * used.sum(), 1e-300)
+    smooth = np.where(used, smooth, 1e-300)
     known = np.log10((1 - unknown)[:, None] * smooth) - np.log10(np.maximum(matrix.sum(0), 1))
     return np.column_stack((known, np.log10(unknown)))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import brown, chat, decontam, licenses, mixing, quality, sharding, simhash, substring
+from shiftloom.llm import brown, chat, decontam, licenses, mixing, pii, quality, sharding, simhash, substring
 from shiftloom.llm.frames import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return brown.score(table(spark, sf_dir), held_out)
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir))
