@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,3 +117,6 @@ def op2_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
