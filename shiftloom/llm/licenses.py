@@ -128,14 +128,15 @@ class Scanner:
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, int, int]]:
         """(template, first word, words, aligned words) of every stretch that is covered."""
-        found = []
+        found, taken = [], {}  # a word counts once per template
         for name, first, end in self.stretches(words):
             template = self.words[name]
             slack = len(template) // 2
-            a0 = max(0, first - slack)
+            a0 = max(0, first - slack, taken.get(name, 0))
             pairs = align(words[a0:end + slack], template)
             if pairs and len(pairs) >= self.min_coverage * len(template):
                 found.append((name, a0 + pairs[0][0], pairs[-1][0] - pairs[0][0] + 1, len(pairs)))
+                taken[name] = a0 + pairs[-1][0] + 1
         return found
 
 
