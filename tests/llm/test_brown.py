@@ -53,6 +53,7 @@ def test_model_is_a_distribution():
     matrix = rng.integers(0, 50, (k + 1, k + 1))
     matrix[:, 2] = 0  # an empty class
     rare = np.concatenate((rng.integers(0, 5, k + 1), rng.integers(0, 5, k + 1), [1]))
+    rare[k + 1 + 2] = 0
     table = brown.transitions(matrix, rare, k, 0.1)
     size = np.maximum(matrix.sum(0), 1)
     # words of a class share its counts, so p(class) is the cell times the class's count
