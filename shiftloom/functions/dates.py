@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -40,13 +41,25 @@ def weekday_num(c: Column | str) -> Column:
     return F.weekday(col_of(c))
 
 
-def parse_date(c: Column | str, fmt: str) -> Column:
-    """Text to date; null where the text does not fit."""
-    return F.try_to_date(col_of(c), fmt)
+# What a run of pattern letters stands for, where that is a number of fixed or free width.
+_DIGITS = {"yyyy": r"\d{4}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}", "d": r"\d{1,2}"}
+
+
+def shape_of(fmt: str) -> str | None:
+    """Regular expression of the texts a numeric date format can fit; None for other formats."""
+    parts = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z'])", fmt)
+    found = [_DIGITS.get(a + b) if a else re.escape(c) for a, b, c in parts]
+    whole = "".join(a + b + c for a, b, c in parts)
+    return None if None in found or whole != fmt else "^" + "".join(found) + "$"
 
 
-def parse_timestamp(c: Column | str, fmt: str) -> Column:
-    return F.try_to_timestamp(col_of(c), F.lit(fmt))
+def parse_date(c: Column | str, fmt: str) -> Column:
+    """Text to date; null where the text does not fit.
+
+    Texts of another shape are not tried: an attempt that fails costs an exception.
+    """
+    c, shape = col_of(c), shape_of(fmt)
+    return F.try_to_date(c, fmt) if shape is None else F.when(c.rlike(shape), F.try_to_date(c, fmt))
 
 
 def parse_any_date(c: Column | str, formats: Iterable[str]) -> Column:

@@ -1,7 +1,7 @@
 """The jobs end to end: landed feeds in, facts and reports out.
 
-A feed is a CSV or Parquet path, or a list of paths of the same layout; the period in
-file names is the caller's business. Every job takes its run date and writes the
+A feed is a CSV path, a list of such paths, or a :class:`Feed` that says how it is
+written. :func:`files_of` picks the files of a period. Every job takes its run date and writes the
 latest state, and a dated copy where one is kept.
 """
 
@@ -22,24 +22,63 @@ from shiftloom.plans.snapshot import snapshot_fact
 from shiftloom.session import configure
 from shiftloom.sources import readers, schemas, writers
 
-Path = str | Sequence[str]
+@dataclass(frozen=True)
+class Feed:
+    """Where a feed lies and how it is written. A bare path, or a list of paths, is CSV.
+
+    ``header``: lines above the header of a CSV. ``multi_line=False``: no record spans
+    lines, so that files can be split.
+    """
+
+    path: str | Sequence[str]
+    format: str = "csv"
+    header: int = 0
+    multi_line: bool = True
+
+
+Path = str | Sequence[str] | Feed
+
+
+def feed_texts(spark: SparkSession, path: Path, columns: Sequence[str], header: int = 0, ingest_seq: bool = False) -> DataFrame:
+    feed = path if isinstance(path, Feed) else Feed(path, header=header)
+    if feed.header == 0:
+        return readers.read_csv_texts(spark, feed.path, columns, multi_line=feed.multi_line, ingest_seq=ingest_seq)
+    below = readers.read_below_preamble(spark, feed.path, feed.header, columns, feed.multi_line)
+    return below.withColumn("ingest_seq", F.monotonically_increasing_id()) if ingest_seq else below
+
+
+def read_feed(spark: SparkSession, path: Path, schema: T.StructType, header: int = 0, ingest_seq: bool = False) -> DataFrame:
+    """The schema's columns of a feed, by name.
 
+    ``ingest_seq`` adds the order of the rows in the files, which rules like "keep the
+    first" need (CSV only: Parquet keeps none, its feeds bring the column along).
+    """
+    if isinstance(path, Feed) and path.format == "parquet":
+        return readers.read_parquet(spark, path.path, [*schema.names, *(["ingest_seq"] if ingest_seq else [])])
+    return readers.conform(feed_texts(spark, path, schema.names, header, ingest_seq), _types(schema))
+
+
+def feed_misfits(spark: SparkSession, path: Path, schema: T.StructType, header: int = 0) -> DataFrame:
+    """(column, n) of the texts of a CSV feed that are no values of the schema's types."""
+    return readers.misfits(feed_texts(spark, path, schema.names, header), _types(schema))
 
-def read_feed(spark: SparkSession, path: Path, schema: T.StructType, header: int = 0) -> DataFrame:
-    """The schema's columns of a feed, by name; ``header`` counts the lines above the header of a CSV."""
-    first = path if isinstance(path, str) else path[0]
-    if first.rstrip("/").endswith(".parquet"):
-        return readers.read_parquet(spark, path, schema.names)
-    if header == 0:
-        return readers.read_csv(spark, path, {f.name: f.dataType.simpleString() for f in schema.fields})
-    texts = readers.read_below_preamble(spark, path, header, schema.names)
-    return texts.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+def _types(schema: T.StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
 
 
 def texts(*columns: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+def files_of(pattern: str, days: Sequence[dt.date]) -> list[str]:
+    """The paths of a period: ``pattern`` with every day put in, in order.
+
+    Written as for ``strftime``: ``files_of("roster/%Y-%m.csv", days)``; equal paths once.
+    """
+    return list(dict.fromkeys(day.strftime(pattern) for day in days))
+
+
 # -- feed jobs -------------------------------------------------------------------
 
 
@@ -56,7 +95,10 @@ def run_daily_extract(spark: SparkSession, extract: Path, status_map: Path, run_
 
 def run_attendance(spark: SparkSession, compiled: Path, adjusted: Path, extract: Path, run_date: dt.date, out: str,
                    hours: int = 15, day: str = "today", header: int = 1) -> DataFrame:
-    """Compiled attendance as CSV; returns the keys that occur more than once."""
+    """Compiled attendance as CSV; returns the keys that occur more than once.
+
+    The output may be the ``compiled`` feed of the next run: its dates are read back.
+    """
     shifts = feeds.shift_attendance(read_feed(configure(spark), extract, schemas.SHIFT_EXTRACT, header), run_date, hours, day)
     kept = [read_feed(spark, p, schemas.ATTENDANCE_FEED) for p in (compiled, adjusted)]
     writers.write_csv(feeds.attendance_compile(*kept, shifts), out)

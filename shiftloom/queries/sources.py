@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.queries.registry import Tables, query
 from shiftloom.session import scratch_path
 from shiftloom.sources import readers, schemas
-from shiftloom.sources.writers import write_csv
+from shiftloom.sources.writers import write_csv, write_latest, write_snapshot
 
 
 @query("scan_parquet", "SELECT * FROM lineitem")
@@ -80,3 +82,65 @@ def multi_file_union(t: Tables) -> DataFrame:
         t.spark, [f"{base}/sheet={k}" for k in kinds],
         {"event_id": "bigint", "user_id": "bigint", "event_type": "string", "value": "double"},
     )
+
+
+@query("scan_csv_quoted", "SELECT doc_id, text || '\"' || chr(10) || ', ' || chr(10) AS text, lang FROM documents")
+def scan_csv_quoted(t: Tables) -> DataFrame:
+    """Texts with quotes, commas, line breaks and spaces at the end."""
+    path = scratch_path(t.spark, "documents-csv")
+    write_csv(t.documents.select("doc_id", F.concat("text", F.lit('"\n, \n')).alias("text"), "lang"), path)
+    return readers.read_csv(t.spark, path, {"doc_id": "bigint", "text": "string", "lang": "string"})
+
+
+@query("scan_csv_reordered", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def scan_csv_reordered(t: Tables) -> DataFrame:
+    """Two folders whose headers have the same names in another order."""
+    columns, paths = ["c_custkey", "c_name", "c_mktsegment"], []
+    for i, order in enumerate((columns, columns[::-1])):
+        paths.append(scratch_path(t.spark, "customer-csv"))
+        write_csv(t.customer.where(F.col("c_custkey") % 2 == i).select(*order), paths[-1])
+    return readers.read_csv(t.spark, paths, {"c_custkey": "bigint", "c_name": "string", "c_mktsegment": "string"})
+
+
+@query("scan_csv_dates", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+def scan_csv_dates(t: Tables) -> DataFrame:
+    """One date column in the three ways in which feeds write dates."""
+    ways = ["yyyy-MM-dd", "MM/dd/yyyy", "M-d-yyyy"]
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % 3 == i, F.date_format("o_orderdate", w)) for i, w in enumerate(ways)])
+    path = scratch_path(t.spark, "dates-csv")
+    write_csv(t.orders.select("o_orderkey", text.alias("o_orderdate")), path)
+    return readers.read_csv(t.spark, path, {"o_orderkey": "bigint", "o_orderdate": "date"})
+
+
+@query("sink_latest", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def sink_latest(t: Tables) -> DataFrame:
+    """The latest state after it has been written twice."""
+    path, wanted = scratch_path(t.spark, "latest"), ["o_orderkey", "o_custkey", "o_totalprice"]
+    for df in (t.orders.select(*wanted).withColumn("o_totalprice", F.lit(0.0)), t.orders.select(*wanted)):
+        write_latest(df, path, compression="none")
+    return readers.read_parquet(t.spark, path)
+
+
+@query(
+    "sink_snapshot",
+    "SELECT c_custkey, c_name, d AS run_date FROM customer, (VALUES (DATE '2024-01-01'), (DATE '2024-01-02')) v(d)",
+)
+def sink_snapshot(t: Tables) -> DataFrame:
+    """Two dated copies, the second one written again."""
+    path, df = scratch_path(t.spark, "snapshots"), t.customer.select("c_custkey", "c_name")
+    for day in (1, 2, 2):
+        write_snapshot(df, path, dt.date(2024, 1, day))
+    return readers.read_parquet(t.spark, path)
+
+
+@query(
+    "sink_csv",
+    "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN NULL ELSE ' ' || p_name || ' \"x\"' END AS note FROM part",
+)
+def sink_csv(t: Tables) -> DataFrame:
+    """Empty, null and quoted texts, written and read back."""
+    note = F.when(F.col("p_partkey") % 3 == 0, F.lit("")).when(
+        F.col("p_partkey") % 3 == 2, F.concat(F.lit(" "), "p_name", F.lit(' "x"')))
+    path = scratch_path(t.spark, "export")
+    write_csv(t.part.select("p_partkey", note.alias("note")), path)
+    return readers.read_csv(t.spark, path, {"p_partkey": "bigint", "note": "string"})

@@ -28,4 +28,12 @@ def write_snapshot(df: DataFrame, path: str, run_date: dt.date) -> None:
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    """CSV that the readers of this library, and others, read back as it was.
+
+    Quotes are doubled, an empty text is quoted and null is not, spaces stay.
+    """
+    (
+        df.write.mode("overwrite").option("header", header).option("quote", '"').option("escape", '"')
+        .option("emptyValue", '""').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

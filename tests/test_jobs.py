@@ -36,6 +36,18 @@ def test_daily_extract_and_attendance(spark, tmp_path):
     doubled = jobs.run_attendance(spark, feed, feed, extract, RUN_DATE, str(tmp_path / "att"))
     assert rows(doubled) == [("a", "01/15/2024", 2)]
     assert readers.read_csv(spark, str(tmp_path / "att")).count() == 3
+    # its own output is the next run's feed, dates and all
+    jobs.run_attendance(spark, str(tmp_path / "att"), feed, extract, RUN_DATE, str(tmp_path / "next"))
+    assert readers.read_csv(spark, str(tmp_path / "next")).where("Date IS NULL").count() == 0
+    bad = land(tmp_path, "bad.csv", "Username,Date,Status Final\na,14.01.2024,Leave\n")
+    assert rows(jobs.feed_misfits(spark, bad, schemas.ATTENDANCE_FEED)) == [("Date", 1)]
+
+
+def test_formats_and_periods(spark, tmp_path):
+    days = [dt.date(2024, 1, 31), dt.date(2024, 2, 1), dt.date(2024, 2, 2)]
+    assert jobs.files_of("roster/%Y-%m.csv", days) == ["roster/2024-01.csv", "roster/2024-02.csv"]
+    spark.createDataFrame([("u", "x")], "Username string, other string").write.parquet(str(tmp_path / "folder"))
+    assert rows(jobs.read_feed(spark, jobs.Feed(str(tmp_path / "folder"), "parquet"), jobs.texts("Username"))) == [("u",)]
 
 
 def test_conformed_feeds(spark, tmp_path):

@@ -42,7 +42,7 @@ def test_preamble_with_many_blocks(spark, tmp_path):
     path = write(tmp_path / "big.csv", "title", "n", *[str(i) for i in range(5000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
-        df = readers.read_below_preamble(spark, path, 1)
+        df = readers.read_below_preamble(spark, path, 1, multi_line=False)
         assert df.rdd.getNumPartitions() > 3
         assert df.select(F.sum(F.col("n").cast("int")), F.count("n")).first() == (sum(range(5000)), 5000)
     finally:
@@ -54,10 +54,44 @@ def test_headerless_and_several_files(spark, tmp_path):
     df = readers.read_headerless(spark, paths, schemas.CODES)
     assert rows(df) == [("MF", "M0", "text"), ("MF", "M1", "text")]
     headed = [write(tmp_path / f"h{i}.csv", "Username,Day,Status final", f"u{i},2024-01-0{i + 1},Work") for i in range(2)]
-    fixed = readers.read_csv_schema(spark, headed, schemas.SHRINKAGE)
+    fixed = readers.read_csv(spark, headed, {"Username": "string", "Day": "date", "Status final": "string"})
     assert rows(fixed) == [("u0", dt.date(2024, 1, 1), "Work"), ("u1", dt.date(2024, 1, 2), "Work")]
 
 
+def test_quotes_breaks_and_empty_texts(spark, tmp_path):
+    path = write(tmp_path / "q.csv", "user,status,day", 'a,"1B - SICK LEAVE', '",2024-01-01', 'b,"he said ""x"", y",01/14/2024', 'c,"",1-4-2024', "d,,2024-13-01")
+    df = readers.read_csv(spark, path, {"user": "string", "status": "string", "day": "date"})
+    assert rows(df, "user") == [
+        ("a", "1B - SICK LEAVE\n", dt.date(2024, 1, 1)), ("b", 'he said "x", y', dt.date(2024, 1, 14)),
+        ("c", "", dt.date(2024, 1, 4)), ("d", None, None),
+    ]
+    texts = readers.read_csv_texts(spark, path)
+    assert rows(readers.misfits(texts, {"user": "string", "day": "date"})) == [("day", 1)]
+
+
+def test_columns_in_another_order(spark, tmp_path):
+    a, b = write(tmp_path / "a.csv", "Username,Status", "u,Work"), write(tmp_path / "b.csv", "Status,extra,Username", "Off,x,v")
+    df = readers.read_csv(spark, [b, a], {"Username": "string", "Status": "string"}, ingest_seq=True)
+    assert [tuple(r)[:2] for r in df.orderBy("ingest_seq").collect()] == [("v", "Off"), ("u", "Work")]
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_csv(spark, [a, b], {"extra": "string"})
+
+
+def test_what_is_written_comes_back(spark, tmp_path):
+    given = [(1, 'a "b", c\n\nd'), (2, ""), (3, None), (4, "  x  "), (5, "back\\slash\\"), (6, '"'), (7, ","), (8, "tab\t")]
+    writers.write_csv(spark.createDataFrame(given, "n int, s string"), str(tmp_path / "csv"))
+    assert rows(readers.read_csv(spark, str(tmp_path / "csv"), {"n": "int", "s": "string"})) == given
+
+
+def test_preamble_and_records_over_several_lines(spark, tmp_path):
+    for i in range(2):
+        write(tmp_path / f"f{i}.csv", "title", "user,note", f'u{i},"two', 'lines, ""quoted"""', f"v{i},")
+    df = readers.read_below_preamble(spark, str(tmp_path), 1)
+    assert rows(df) == [("u0", 'two\nlines, "quoted"'), ("u1", 'two\nlines, "quoted"'), ("v0", None), ("v1", None)]
+
+
 def test_parquet_pruning(spark, tmp_path):
     spark.range(5).select("id", (F.col("id") * 2).alias("b"), F.lit("x").alias("c")).write.parquet(str(tmp_path / "p"))
     df = readers.read_parquet(spark, str(tmp_path / "p"), ["b"]).where("b > 2")
