@@ -344,8 +344,14 @@ def fitted(docs: DataFrame, sample: int = SAMPLE) -> Field:
 
     Which ones depends on hashes of the documents only.
     """
-    some = docs.select("doc_id", "text").where(F.col("text").rlike(r"@|\+[0-9]|[0-9]{7}|[0-9]\.[0-9]+\.[0-9]"))
-    rows = some.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample).select("text").collect()
+    some = docs.select("text", F.xxhash64("doc_id", "text").alias("h")).where(
+        F.col("text").rlike(r"@|\+[0-9]|[0-9]{7}|[0-9]\.[0-9]+\.[0-9]"))
+    # hashes first: a text comes to the driver only if it is one of the sample
+    hashes = [r["h"] for r in some.select("h").orderBy("h").limit(sample).collect()]
+    if not hashes:
+        return Field.fit([])
+    last = F.lit(hashes[-1])
+    rows = sorted(some.where(F.col("h") <= last).dropDuplicates(["h"]).select("h", "text").collect())
     return Field.fit(examples([r["text"] for r in rows]))
 
 
