@@ -4,9 +4,9 @@ Three ways, by what is known of the sides:
 
 * plain joins of two scans are left to Spark: it broadcasts a side whose known or
   measured size is below its threshold, and else splits skewed partitions;
-* short lists (codes, statuses), whose few values each hold a large part of the fact,
-  are broadcast after their rows have been counted up to a limit;
-* sides that come out of an aggregation are joined by :func:`spread_join`: adaptive
+* lists (codes, statuses), whose few values each hold a large part of the fact, are the
+  same once they have been :func:`dealt_anew`, whatever their length;
+* large sides that come out of an aggregation are joined by :func:`spread_join`: adaptive
   execution does not split skewed partitions of such a join, so the rows of hot keys
   are spread over slices and the one matching row is repeated for each slice.
 """
@@ -22,16 +22,14 @@ from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import keep_first
 
 
-LIST_ROWS = 50_000
+def dealt_anew(side: DataFrame, *keys: str) -> DataFrame:
+    """A side that comes out of a window or an aggregation, dealt out once more.
 
-
-def counted_broadcast(table: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
-    """The table to be broadcast if it has at most ``max_rows`` rows, else as it is.
-
-    Runs a job that stops counting after the limit. A longer table is left to the
-    shuffle join, whose skewed partitions are split.
+    The join then shuffles it by itself, and where both sides of a join come straight
+    from such a shuffle, adaptive execution splits partitions with a hot key. A side
+    that Spark finds to be small is broadcast as ever.
     """
-    return F.broadcast(table) if table.limit(max_rows + 1).count() <= max_rows else table
+    return side.repartition(F.xxhash64(*[q(k) for k in keys]))
 
 
 def left_join(right: DataFrame, on: Sequence[str], null_safe: bool = False):
@@ -112,24 +110,15 @@ def spread_join(df: DataFrame, side: DataFrame, keys: Sequence[str], counts: Dat
     return spread(df, keys, hot).join(repeat(side, keys, hot), [*keys, SLICE], "left").drop(SLICE)
 
 
-def lookup(table: DataFrame, key: str, lookup_key: str, cols: Mapping[str, str],
-           order: Sequence[str] | None = None, max_rows: int = LIST_ROWS):
+def lookup(table: DataFrame, key: str, lookup_key: str, cols: Mapping[str, str], order: Sequence[str] | None = None):
     """Attributes ``{lookup column: output}`` of a keyed table.
 
     With ``order`` the table is first cut to one row per key, so that the lookup
-    cannot multiply rows. A short table is broadcast, see :func:`counted_broadcast`; a
-    longer one is joined by slices if it has been cut, else by a plain join.
+    cannot multiply rows.
     """
-    unique = table.transform(keep_first([lookup_key], order)) if order else table
+    unique = dealt_anew(table.transform(keep_first([lookup_key], order)), lookup_key) if order else table
     side = unique.select(q(lookup_key).alias("__lk"), *[q(c).alias(o) for c, o in cols.items()])
-    listed = counted_broadcast(side, max_rows)
-
-    def op(df: DataFrame) -> DataFrame:
-        if listed is side and order:
-            return spread_join(df.withColumn("__lk", q(key)), side, ["__lk"]).drop("__lk")
-        return df.join(listed, q(key) == F.col("__lk"), "left").drop("__lk")
-
-    return op
+    return lambda df: df.join(side, q(key) == F.col("__lk"), "left").drop("__lk")
 
 
 def member_flag(other: DataFrame, key: str, other_key: str, out: str):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules, text
-from shiftloom.operators.joins import counted_broadcast, spread_join
+from shiftloom.operators.joins import dealt_anew, spread_join
 from shiftloom.operators.projection import q
 from shiftloom.operators.timeline import Timeline
 from shiftloom.plans import rule_tables as R
@@ -64,7 +64,7 @@ def flag_columns(value: Column | str, group: Column | str, null_cells: str = "of
 
 def code_groups_of(codes: DataFrame, value: str, out: str = "codes_group"):
     """Adds the group of each cell; cells that are not on the code list get none."""
-    side = counted_broadcast(codes.select(F.col("code").alias("__code"), F.col("codes_group").alias(out)))
+    side = dealt_anew(codes.select(F.col("code").alias("__code"), F.col("codes_group").alias(out)), "__code")
     return lambda df: df.join(side, q(value) == F.col("__code"), "left").drop("__code")
 
 

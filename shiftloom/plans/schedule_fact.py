@@ -106,12 +106,12 @@ class Variant:
     merge_since: dt.date | None = R.UNIT_MERGE_DATE
     ruleset: str = "full"
     spelling: list[tuple[str, str]] = field(default_factory=list)
-    width: int | None = None
+    exits: bool = True
 
 
 _2024 = dict(
     absence="2024", roster=False, billable=False, roll_off=False, change_texts=False, promote_all=True,
-    changes=("SLOB",), change_horizon=None, merge_since=None, spelling=R.CODE_SPELLING_2024, width=395,
+    changes=("SLOB",), change_horizon=None, merge_since=None, spelling=R.CODE_SPELLING_2024, exits=False,
 )
 VARIANTS = {
     "main": Variant(R.FACT_COLUMNS, "main", movement=True, daily=True),
@@ -125,7 +125,11 @@ VARIANTS = {
 
 @dataclass(frozen=True)
 class ScheduleInputs:
-    """Feeds of the job, with the column names they are delivered with."""
+    """Feeds of the job, with the column names they are delivered with.
+
+    Feeds of which the first row of a key counts (exits, early exits, cross-skilling,
+    change log) bring their order as ``ingest_seq``, as readers add it.
+    """
 
     sheet: DataFrame
     codes: DataFrame
@@ -137,6 +141,8 @@ class ScheduleInputs:
     change_log: DataFrame | None = None
     daily: DataFrame | None = None
     noise: Sequence[str] = ()
+    # columns of the sheet that count, from the left; all of them by default
+    width: int | None = None
 
 
 def unpivot_sheet(sheet: DataFrame, *, noise: Sequence[str] = (), width: int | None = None,
@@ -179,12 +185,14 @@ def exit_events(exits: DataFrame, run_date: dt.date) -> DataFrame:
         q("Enterprise ID").alias("x_id"), dates.serial_to_date(serial).alias("x_end"),
         *_seq(exits),
     ).where(F.col("x_end").isNotNull())
-    return known.transform(keep_first(["x_id"], _seq(known) or ["x_end"])).where(dates.after_horizon("x_end", run_date, 2))
+    return known.transform(keep_first(["x_id"], _seq(known))).where(dates.after_horizon("x_end", run_date, 2))
 
 
 def _seq(df: DataFrame) -> list[str]:
-    """The order of a feed's rows, where it is delivered with one."""
-    return ["ingest_seq"] if "ingest_seq" in df.columns else []
+    """The order of a feed's rows; without one there is no first row to keep."""
+    if "ingest_seq" not in df.columns:
+        raise ValueError(f"a feed with columns {df.columns} has no ingest_seq")
+    return ["ingest_seq"]
 
 
 def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[EventFeed]:
@@ -198,7 +206,7 @@ def event_feeds(inp: ScheduleInputs, v: Variant, run_date: dt.date) -> list[Even
         )
         feeds.append(EventFeed("ev_cross", cross, "EID", "__eff",
                                {"x_unit": "Business Unit", "x_flow": "Training FLOW", "x_eff": "__eff"}, _seq(cross)))
-    if inp.exits is not None:
+    if v.exits and inp.exits is not None:
         feeds.append(EventFeed("ev_exit", exit_events(inp.exits, run_date), "x_id", "x_end", {"exit_end": "x_end"}))
     if inp.early_exits is not None:
         early = inp.early_exits.where(dates.after_horizon("exit_date", run_date, 2))
@@ -233,18 +241,28 @@ def _join_roster(df: DataFrame, roster: DataFrame, tenure: bool, hot: DataFrame)
     wanted = {**ROSTER_CARRIED, **(ROSTER_TENURE if tenure else {})}
     side = roster.selectExpr(
         "enterprise_id AS EID", "CAST(roster_date AS DATE) AS date",
-        *[f"`{c}` AS {n}" for n, c in wanted.items()], *ROSTER_DAILY,
+        *[f"`{c}` AS {n}" for n, c in wanted.items()], *ROSTER_DAILY, *[c for c in roster.columns if c == "ingest_seq"],
     )
-    return df.join(repeat(side, ["EID"], hot), ["EID", "date", SLICE], "left")
+    return df.join(repeat(one_per_day(side, "EID", "date"), ["EID"], hot), ["EID", "date", SLICE], "left")
 
 
 def _join_daily(df: DataFrame, daily: DataFrame, hot: DataFrame) -> DataFrame:
     """The late feed beside the roster; it is used only where the roster ends up without a status."""
     side = daily.selectExpr(
         "User_Name_daily AS EID", "CAST(Date_daily AS DATE) AS date",
-        *[f"`{c}` AS __d_{n}" for n, c in DAILY_FILLS.items()],
+        *[f"`{c}` AS __d_{n}" for n, c in DAILY_FILLS.items()], *[c for c in daily.columns if c == "ingest_seq"],
     )
-    return df.join(repeat(side, ["EID"], hot), ["EID", "date", SLICE], "left")
+    return df.join(repeat(one_per_day(side, "EID", "date"), ["EID"], hot), ["EID", "date", SLICE], "left")
+
+
+def one_per_day(df: DataFrame, entity: str, day: str) -> DataFrame:
+    """One row per person and day: the first one delivered, by all columns where no order is.
+
+    A roster that repeats a day would make two rows of one, and of a timeline one that
+    nothing bounds. :func:`~shiftloom.operators.checks.duplicate_keys` reports repeats.
+    """
+    order = ["ingest_seq"] if "ingest_seq" in df.columns else [q(c) for c in df.columns if c not in (entity, day)]
+    return df.transform(keep_first([entity, day], order)).drop("ingest_seq")
 
 
 def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "main",
@@ -252,7 +270,7 @@ def build_schedule_fact(inp: ScheduleInputs, run_date: dt.date, variant: str = "
     """The daily schedule fact of one edition; see :data:`VARIANTS`."""
     v = VARIANTS[variant]
     mark = "roll_off/reassignment"
-    df = unpivot_sheet(inp.sheet, noise=inp.noise, width=v.width)
+    df = unpivot_sheet(inp.sheet, noise=inp.noise, width=inp.width)
     if null_cells == "off":
         df = df.withColumn("value", F.coalesce(F.col("value"), F.lit(R.NO_SHIFT)))
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shiftloom.operators import aggregates, joins
-from shiftloom.operators.joins import SLICE, counted_broadcast, hot_slices, join_back, lookup, row_counts, spread
+from shiftloom.operators.joins import SLICE, hot_slices, join_back, lookup, row_counts, spread
 from shiftloom.operators.timeline import Timeline
 from shiftloom.plans.roster import adjusted_hours
 from tests.conftest import plan, rows
@@ -45,13 +45,11 @@ def test_totals_join_spreads_a_hot_key(spark, tmp_path, no_static_broadcast):
     assert len(joins_in_plan) == 1 and SLICE in joins_in_plan[0]
 
 
-def test_member_flag_and_long_lookup_use_slices(spark, no_static_broadcast):
+def test_member_flag_uses_slices(spark, no_static_broadcast):
     df = spark.range(50).select((F.col("id") % 5).alias("k"))
     table = spark.range(3).select(F.col("id").alias("key"), F.lit("x").alias("name"), F.col("id").alias("seq"))
     flagged = df.transform(joins.member_flag(table, "k", "key", "f"))
     assert flagged.agg(F.sum("f"), F.count("k")).first() == (30, 50) and SLICE in plan(flagged)
-    long = df.transform(lookup(table, "k", "key", {"name": "n"}, order=["seq"], max_rows=2))
-    assert long.agg(F.count("n"), F.count("k")).first() == (30, 50) and SLICE in plan(long)
 
 
 def test_totals_are_combined_before_the_shuffle(spark, tmp_path):
@@ -80,11 +78,29 @@ def test_no_border_work_without_hot_keys(spark, tmp_path):
     assert final.count("Window [") + final.count("Window (") <= 1 and "SortAggregate" not in final
 
 
-def test_lists_are_broadcast_after_counting(spark):
-    table = spark.range(10).select(F.col("id").cast("string").alias("code"), F.lit("x").alias("name"))
+def test_short_lists_are_broadcast_and_long_ones_split(spark, tmp_path):
+    table = spark.range(10).select(F.col("id").cast("string").alias("code"), F.lit("x").alias("name"), F.col("id").alias("seq"))
     fact = spark.range(100).select((F.col("id") % 3).cast("string").alias("c"))
-    assert "BroadcastHashJoin" in plan(fact.transform(lookup(table, "c", "code", {"name": "n"})))
-    assert counted_broadcast(table, 10) is not table and counted_broadcast(table, 9) is table
+    assert "BroadcastHashJoin" in plan(fact.transform(lookup(table, "c", "code", {"name": "n"}, order=["seq"])))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        spark.range(0, 60_000, 1, 6).select(
+            F.when(F.col("id") % 3 > 0, F.lit("0")).otherwise((F.col("id") % 9).cast("string")).alias("c"), F.uuid().alias("pad")
+        ).write.parquet(str(tmp_path / "fact"))
+        hot = spark.read.parquet(str(tmp_path / "fact")).transform(lookup(table, "c", "code", {"name": "n"}, order=["seq"]))
+        run = hot.select("c", "pad", "n")
+        qe = run._jdf.queryExecution()
+        run._jdf.collectAsList()
+        assert "SortMergeJoin(skew=true)" in qe.executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
 
 
 def test_hot_adjustments(spark, tmp_path):

@@ -1,6 +1,7 @@
 """The whole schedule job on a small landed sheet, in every edition."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +61,9 @@ def roster(spark):
 @pytest.fixture(scope="module")
 def inputs(spark, tmp_path_factory):
     sheet = land(spark, str(tmp_path_factory.mktemp("sheet") / "s"), sheet_rows())
-    codes = spark.createDataFrame([("MF", c, "") for c in ("M", "T", "L1", "V")], schemas.CODES)
+    listed = str(tmp_path_factory.mktemp("codes") / "c")
+    spark.createDataFrame([("MF", c, "") for c in ("M", "T", "L1", "V")], schemas.CODES).write.parquet(listed)
+    codes = spark.read.parquet(listed)  # a file, whose size Spark knows
     exits = spark.createDataFrame([("ana", str(SERIAL + 7)), ("ana", str(SERIAL + 3)), ("bob", "9/16/2023")], schemas.EXITS)
     exits = exits.withColumn("ingest_seq", F.monotonically_increasing_id())
     log = spark.createDataFrame(
@@ -75,6 +78,7 @@ def inputs(spark, tmp_path_factory):
     early = spark.createDataFrame([("cy", DAYS[12])], schemas.EARLY_EXITS)
     daily = spark.createDataFrame([("ana", DAYS[1], "Work", "Work", "W")],
                                   "User_Name_daily string, Date_daily date, status_final string, status_daily string, status_code_daily string")
+    cross, log, early = (df.withColumn("ingest_seq", F.monotonically_increasing_id()) for df in (cross, log, early))
     return SF.ScheduleInputs(sheet, codes, roster(spark), exits, early, tickets, cross, log, daily, noise=["Aux"])
 
 
@@ -101,6 +105,38 @@ def test_edition_columns():
     assert "unplanned_abs" in SF.VARIANTS["2024"].columns and SF.VARIANTS["2024_wfh"].columns[-1] == "ABS_FCST"
 
 
+def test_2024_editions_leave_exits_alone(inputs):
+    fact = {(r["EID"], r["date"]): r for r in SF.build_schedule_fact(inputs, RUN, "2024").collect()}
+    assert col(fact, "ana", "value")[7:] == ["L1", "L1", "M", "M", "M", "M", "M"]
+    assert col(fact, "cy", "value")[13] == "-"  # early exits count
+
+
+def test_a_feed_without_order_is_an_error(inputs):
+    for feed in ("exits", "early_exits", "cross_skilling", "change_log"):
+        bare = replace(inputs, **{feed: getattr(inputs, feed).drop("ingest_seq")})
+        with pytest.raises(ValueError, match="ingest_seq"):
+            SF.build_schedule_fact(bare, RUN, "main")
+
+
+def test_wide_sheets_keep_every_day(spark, tmp_path):
+    headers = [str(SERIAL + i) for i in range(500)]
+    row = ["x" if t == "s" else 1 for t in schemas.SHEET_STATIC.values()] + ["M"] * 500
+    spark.createDataFrame([row], schemas.sheet(headers)).write.parquet(str(tmp_path / "s"))
+    sheet = spark.read.parquet(str(tmp_path / "s"))
+    assert SF.unpivot_sheet(sheet).select("date").distinct().count() == 500
+    assert SF.unpivot_sheet(sheet, width=395).count() == 395 - 17
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_repeated_roster_days_change_nothing_by_their_place(inputs, main, partitions):
+    again = inputs.roster.withColumns({"role": F.lit("Zz"), "ingest_seq": F.lit(2)})
+    first = inputs.roster.withColumn("ingest_seq", F.lit(1))
+    want = {k: r.asDict() for k, r in main.items()}
+    for stacked in (first.unionByName(again), again.unionByName(first)):
+        fact = SF.build_schedule_fact(replace(inputs, roster=stacked.repartition(partitions)), RUN, "main")
+        assert {(r["EID"], r["date"]): r.asDict() for r in fact.collect()} == want
+
+
 def test_exit_blanks_later_days_and_is_marked(main):
     assert col(main, "ana", "value")[7:] == ["L1"] + ["-"] * 6
     assert [d for d, m in zip(DAYS, col(main, "ana", "roll_off/reassignment")) if m] == [DAYS[7]]

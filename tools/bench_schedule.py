@@ -55,7 +55,7 @@ def main(entities: int, days: int, variant: str, hot_share: float) -> None:
     ).write.parquet(f"{base}/log")
     codes = spark.createDataFrame([("MF", c, "") for c in sorted(set(CODES))], schemas.CODES)
     read = spark.read.parquet
-    inputs = ScheduleInputs(read(f"{base}/sheet"), codes, roster=read(f"{base}/roster"), change_log=read(f"{base}/log"))
+    inputs = ScheduleInputs(read(f"{base}/sheet"), codes, roster=read(f"{base}/roster"), change_log=read(f"{base}/log").withColumn("ingest_seq", F.monotonically_increasing_id()))
     began = time.perf_counter()
     fact = build_schedule_fact(inputs, start, variant)
     built = time.perf_counter()
