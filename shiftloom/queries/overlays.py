@@ -70,7 +70,7 @@ def effective_overlay(t: Tables) -> DataFrame:
 @query(
     "effective_overlay_asof",
     f"""
-    WITH {USER_DAYS_SQL}, {dated_sql('feed', 'purchase', 'event_id AS ref', 'value > 60')},
+    WITH {USER_DAYS_SQL}, {dated_sql('feed', 'purchase', 'event_id AS ref')},
     work AS (SELECT user_id, day FROM user_days WHERE kind <> 'purchase')
     SELECT user_id, day, (SELECT max_by(ref, eff) FROM feed WHERE who = user_id AND eff <= day) AS ref FROM work
     """,
@@ -78,7 +78,7 @@ def effective_overlay(t: Tables) -> DataFrame:
 def effective_overlay_asof(t: Tables) -> DataFrame:
     """Events on days the fact lacks count as well."""
     fact = user_days(t).where(F.col("kind") != "purchase").select("user_id", "day")
-    feed = EventFeed("ev", dated(t, "purchase").where(F.col("value") > 60), "who", "eff", {"ref": "event_id"}, ["event_id"])
+    feed = EventFeed("ev", dated(t, "purchase"), "who", "eff", {"ref": "event_id"}, ["event_id"])
     return fact.transform(overlays.effective_overlay(DAY_LINE, [feed], "user_id", "day", carry_in=True))
 
 
@@ -108,9 +108,9 @@ def interval_overlay(t: Tables) -> DataFrame:
     f"""
     WITH {USER_DAYS_SQL},
     {dated_sql('absences', 'signup', 'CAST(ts AS DATE) AS a_lo, CAST(ts AS DATE) + 2 AS a_hi')},
-    {dated_sql('leaves', 'view', 'CAST(ts AS DATE) AS l_lo, CAST(ts AS DATE) + 4 AS l_hi', 'value > 80')},
-    {dated_sql('leavers', 'error', 'CAST(ts AS DATE) AS gone', 'value > 120')},
-    {dated_sql('moves', 'click', "CAST(ts AS DATE) AS mv_eff, 'Market ' || event_id % 3 AS mv_market", 'value > 90')},
+    {dated_sql('leaves', 'view', 'CAST(ts AS DATE) AS l_lo, CAST(ts AS DATE) + 4 AS l_hi')},
+    {dated_sql('leavers', 'error', 'CAST(ts AS DATE) AS gone')},
+    {dated_sql('moves', 'click', "CAST(ts AS DATE) AS mv_eff, 'Market ' || event_id % 3 AS mv_market")},
     carried AS (SELECT user_id, day, CASE WHEN n = 1 THEN '-' ELSE value END AS value, kind,
         {', '.join(f'{carry(c)} AS {c}' for c in ('a_lo', 'a_hi', 'l_lo', 'l_hi', 'gone', 'mv_eff', 'mv_market'))}
       FROM user_days
@@ -125,14 +125,14 @@ def interval_overlay(t: Tables) -> DataFrame:
 def forecast_overlay(t: Tables) -> DataFrame:
     order = ["event_id"]
     absences = dated(t, "signup").withColumn("hi", F.date_add("eff", 2))
-    leaves = dated(t, "view").where(F.col("value") > 80).withColumn("hi", F.date_add("eff", 4))
-    moves = dated(t, "click").where(F.col("value") > 90).withColumn(
+    leaves = dated(t, "view").withColumn("hi", F.date_add("eff", 4))
+    moves = dated(t, "click").withColumn(
         "to", F.concat(F.lit("Market "), (F.col("event_id") % 3).cast("string"))
     )
     feeds = [
         EventFeed("ev_abs", absences, "who", "eff", {"a_lo": "eff", "a_hi": "hi"}, order),
         EventFeed("ev_loa", leaves, "who", "eff", {"l_lo": "eff", "l_hi": "hi"}, order),
-        EventFeed("ev_attr", dated(t, "error").where(F.col("value") > 120), "who", "eff", {"gone": "eff"}, order),
+        EventFeed("ev_attr", dated(t, "error"), "who", "eff", {"gone": "eff"}, order),
         EventFeed("ev_move", moves, "who", "eff", {"mv_eff": "eff", "mv_market": "to"}, order),
     ]
     fact = user_days(t).select(
@@ -151,9 +151,9 @@ def forecast_overlay(t: Tables) -> DataFrame:
     "exit_overlay",
     f"""
     WITH {USER_DAYS_SQL},
-    exits AS (SELECT * FROM (SELECT user_id AS who, CAST(ts AS DATE) AS eff FROM events WHERE event_type = 'error' AND value > 100
+    exits AS (SELECT * FROM (SELECT user_id AS who, CAST(ts AS DATE) AS eff FROM events WHERE event_type = 'error'
       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) WHERE eff > DATE '2024-01-13'),
-    {dated_sql('early', 'view', 'CAST(ts AS DATE) AS gone', "value > 200 AND CAST(ts AS DATE) > DATE '2024-01-13'")},
+    {dated_sql('early', 'view', 'CAST(ts AS DATE) AS gone', "CAST(ts AS DATE) > DATE '2024-01-13'")},
     carried AS (SELECT user_id, day, value, CASE WHEN user_id % 5 = 0 THEN 45300 WHEN user_id % 5 = 1 THEN NULL ELSE 0 END AS off,
         {carry('x.eff')} AS ended, {carry('gone')} AS gone
       FROM user_days LEFT JOIN exits x ON user_id = x.who AND day = x.eff LEFT JOIN early e ON user_id = e.who AND day = e.eff),
@@ -166,11 +166,11 @@ def forecast_overlay(t: Tables) -> DataFrame:
 )
 def exit_overlay(t: Tables) -> DataFrame:
     exits = (
-        dated(t, "error").where(F.col("value") > 100)
+        dated(t, "error")
         .transform(keep_first(["who"], [F.col("event_id").desc()]))
         .where(dates.after_horizon("eff", RUN_DATE, 2))
     )
-    early = dated(t, "view").where((F.col("value") > 200) & dates.after_horizon("eff", RUN_DATE, 2))
+    early = dated(t, "view").where(dates.after_horizon("eff", RUN_DATE, 2))
     feeds = [
         EventFeed("ev_exit", exits, "who", "eff", {"ended": "eff"}),
         EventFeed("ev_early", early, "who", "eff", {"gone": "eff"}, ["event_id"]),
@@ -192,8 +192,8 @@ def exit_overlay(t: Tables) -> DataFrame:
     "changelog_overlay",
     f"""
     WITH {USER_DAYS_SQL},
-    {dated_sql('units', 'click', "CAST(ts AS DATE) AS u_eff, CASE event_id % 3 WHEN 0 THEN 'LERT' WHEN 1 THEN 'COMMUNITY_OPS' ELSE 'CUSTOMER_SUPPORT' END AS u_new", "value > 50 AND CAST(ts AS DATE) >= DATE '2024-01-08'")},
-    {dated_sql('flows', 'view', "CAST(ts AS DATE) AS f_eff, CASE event_id % 4 WHEN 0 THEN 'LERT' WHEN 1 THEN 'Policy' WHEN 2 THEN 'GTM' ELSE 'IDVAAS' END AS f_new", "value > 50 AND CAST(ts AS DATE) >= DATE '2024-01-08'")},
+    {dated_sql('units', 'click', "CAST(ts AS DATE) AS u_eff, CASE event_id % 3 WHEN 0 THEN 'LERT' WHEN 1 THEN 'COMMUNITY_OPS' ELSE 'CUSTOMER_SUPPORT' END AS u_new", "CAST(ts AS DATE) >= DATE '2024-01-08'")},
+    {dated_sql('flows', 'view', "CAST(ts AS DATE) AS f_eff, CASE event_id % 4 WHEN 0 THEN 'LERT' WHEN 1 THEN 'Policy' WHEN 2 THEN 'GTM' ELSE 'IDVAAS' END AS f_new", "CAST(ts AS DATE) >= DATE '2024-01-08'")},
     carried AS (SELECT user_id, day, kind,
         {', '.join(f'{carry(c)} AS {c}' for c in ('u_eff', 'u_new', 'f_eff', 'f_new'))},
         count(f_eff) OVER (PARTITION BY user_id) > 0 AS changed
@@ -214,7 +214,7 @@ def exit_overlay(t: Tables) -> DataFrame:
 )
 def changelog_overlay(t: Tables) -> DataFrame:
     def log(kind: str, new: str) -> DataFrame:
-        rows = dated(t, kind).where((F.col("value") > 50) & dates.after_horizon("eff", RUN_DATE, 7, inclusive=True))
+        rows = dated(t, kind).where(dates.after_horizon("eff", RUN_DATE, 7, inclusive=True))
         return rows.withColumn("new", F.expr(new))
 
     units = log("click", "CASE event_id % 3 WHEN 0 THEN 'LERT' WHEN 1 THEN 'COMMUNITY_OPS' ELSE 'CUSTOMER_SUPPORT' END")

@@ -201,22 +201,22 @@ def _inputs(t: Tables) -> SF.ScheduleInputs:
     day, kind, seq = F.col("ts").cast("date"), F.col("event_type"), F.col("event_id").alias("ingest_seq")
     ev = t.events
 
-    def dated(k: str, least: int) -> DataFrame:
-        return ev.where((kind == k) & (F.col("value") > least))
+    def dated(k: str) -> DataFrame:
+        return ev.where(kind == k)
 
     roster = user_days(t).where(F.col("kind") != "view").select(
         who.alias("enterprise_id"), F.col("day").alias("roster_date"), *[F.expr(sql).alias(c) for c, sql in _ROSTER.items()]
     )
-    exits = dated("error", 100).where(day >= F.lit("2024-01-10")).select(
+    exits = dated("error").select(
         who.alias("Enterprise ID"), F.datediff(day, F.lit(dates.SERIAL_EPOCH)).cast("string").alias("Employment End Date"), seq
     )
-    early = dated("view", 200).select(who.alias("e_id"), day.alias("exit_date"), seq)
-    cross = dated("purchase", 80).select(
+    early = dated("view").select(who.alias("e_id"), day.alias("exit_date"), seq)
+    cross = dated("purchase").select(
         F.expr(_X_UNIT).alias("Business Unit"), F.expr(_X_FLOW).alias("Training FLOW"), who.alias("EID"),
         F.date_sub(day, 1).alias("End date"), seq,
     )
     other = F.concat(F.lit("@"), F.rpad(F.lit("#"), 16, "."), F.lit("7#u"), (F.col("user_id") + 1).cast("string"))
-    tickets = dated("signup", 60).select(
+    tickets = dated("signup").select(
         F.col("event_id").alias("ID"), F.concat(who, F.when(F.col("event_id") % 8 < 4, other).otherwise(F.lit(""))).alias("EID"),
         F.when(F.col("event_id") % 5 > 0, F.lit("Consider in Forecast")).otherwise(F.lit("Reject")).alias("Ticket decision"),
         F.expr(_TICKET_KIND).alias("Forecasted Change"), day.alias("Start Date"), F.date_add(day, 3).alias("End Date"),
@@ -225,12 +225,12 @@ def _inputs(t: Tables) -> SF.ScheduleInputs:
         F.concat(F.lit("mk"), (F.col("event_id") % 2).cast("string")).alias("To Market"),
     )
 
-    def change(k: str, least: int, name: str, new: str) -> DataFrame:
-        return dated(k, least).select(who.alias("e_id"), F.lit(name).alias("Change_Type"), F.expr(new).alias("New"),
+    def change(k: str, name: str, new: str) -> DataFrame:
+        return dated(k).select(who.alias("e_id"), F.lit(name).alias("Change_Type"), F.expr(new).alias("New"),
                                       day.alias("Effective_Date"), seq)
 
-    log = change("click", 80, "PBU", _CH_PBU).unionByName(change("view", 60, "SLOB", _CH_SLOB))
-    log = log.unionByName(change("signup", 120, "Role", "'Coach'")).unionByName(change("error", 120, "Market", "'GTM_ITALIAN'"))
+    log = change("click", "PBU", _CH_PBU).unionByName(change("view", "SLOB", _CH_SLOB))
+    log = log.unionByName(change("signup", "Role", "'Coach'")).unionByName(change("error", "Market", "'GTM_ITALIAN'"))
     daily = user_days(t).where(F.col("kind") == "purchase").select(
         who.alias("User_Name_daily"), F.col("day").alias("Date_daily"), F.lit("daily").alias("status_final"),
         F.lit("Work").alias("status_daily"), F.lit("D1").alias("status_code_daily"),
@@ -276,15 +276,15 @@ SCHEDULE_FACT_SQL = f"""
     WITH {_GRID_SQL},
     roster AS (SELECT user_id AS r_id, day AS r_day, {', '.join(f'{sql} AS "{c}"' for c, sql in _ROSTER.items())}
       FROM user_days WHERE kind <> 'view'),
-    exits AS (SELECT * FROM (SELECT user_id AS who, {_DAY} AS day, {_DAY} AS exit_end FROM events WHERE event_type = 'error' AND value > 100
-      AND {_DAY} >= DATE '2024-01-10' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1) WHERE day > DATE '2024-01-13'),
-    {dated_sql('early', 'view', f'{_DAY} AS day, {_DAY} AS early_end', f'value > 200 AND {_AFTER}')},
-    {dated_sql('cross_skill', 'purchase', f'{_DAY} AS day, {_DAY} AS x_eff, {_X_UNIT} AS x_unit, {_X_FLOW} AS x_flow', f'value > 80 AND {_DAY} - 1 > DATE ' + "'2024-01-13'")},
-    {dated_sql('ch_pbu', 'click', f'{_DAY} AS day, {_DAY} AS pbu_eff, {_CH_PBU} AS pbu_new', f'value > 80 AND {_RECENT}')},
-    {dated_sql('ch_slob', 'view', f'{_DAY} AS day, {_DAY} AS slob_eff, {_CH_SLOB} AS slob_new', f'value > 60 AND {_RECENT}')},
-    {dated_sql('ch_role', 'signup', f"{_DAY} AS day, {_DAY} AS role_eff, 'Coach' AS role_new", f'value > 120 AND {_RECENT}')},
-    {dated_sql('ch_market', 'error', f"{_DAY} AS day, {_DAY} AS market_eff, 'GTM_ITALIAN' AS market_new", f'value > 120 AND {_RECENT}')},
-    asked AS (SELECT event_id, user_id, {_DAY} AS day, {_TICKET_KIND} AS change FROM events WHERE event_type = 'signup' AND value > 60 AND event_id % 5 > 0),
+    exits AS (SELECT * FROM (SELECT user_id AS who, {_DAY} AS day, {_DAY} AS exit_end FROM events WHERE event_type = 'error'
+      QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1) WHERE day > DATE '2024-01-13'),
+    {dated_sql('early', 'view', f'{_DAY} AS day, {_DAY} AS early_end', f'{_AFTER}')},
+    {dated_sql('cross_skill', 'purchase', f'{_DAY} AS day, {_DAY} AS x_eff, {_X_UNIT} AS x_unit, {_X_FLOW} AS x_flow', f'{_DAY} - 1 > DATE ' + "'2024-01-13'")},
+    {dated_sql('ch_pbu', 'click', f'{_DAY} AS day, {_DAY} AS pbu_eff, {_CH_PBU} AS pbu_new', f'{_RECENT}')},
+    {dated_sql('ch_slob', 'view', f'{_DAY} AS day, {_DAY} AS slob_eff, {_CH_SLOB} AS slob_new', f'{_RECENT}')},
+    {dated_sql('ch_role', 'signup', f"{_DAY} AS day, {_DAY} AS role_eff, 'Coach' AS role_new", f'{_RECENT}')},
+    {dated_sql('ch_market', 'error', f"{_DAY} AS day, {_DAY} AS market_eff, 'GTM_ITALIAN' AS market_new", f'{_RECENT}')},
+    asked AS (SELECT event_id, user_id, {_DAY} AS day, {_TICKET_KIND} AS change FROM events WHERE event_type = 'signup' AND event_id % 5 > 0),
     tickets AS (SELECT event_id, user_id AS who, day, change FROM asked UNION ALL
       SELECT event_id, user_id + 1, day, change FROM asked WHERE event_id % 8 < 4),
     {_ticket_sql('t_abs', 'Absenteeism', 'day AS abs_from, day + 3 AS abs_to')},
