@@ -11,8 +11,9 @@ into consecutive chunks and works in two steps:
    combine, and joined back on ``(entity, chunk)`` - the partitioning the windows
    already have, so the rows themselves are shuffled once.
 
-Entities below ``rows_per_chunk`` rows keep a single chunk, so their plan is the
-plain window. There are at most ``rows / rows_per_chunk`` hot entities, which is the
+Chunks hold about equally many rows: borders are quantiles of the entity's positions,
+and of the tie-break inside a position that alone fills chunks. Entities below
+``rows_per_chunk`` rows keep a single chunk, so their plan is the plain window. There are at most ``rows / rows_per_chunk`` hot entities, which is the
 proven size of the one side that is broadcast. If no entity is hot, adaptive
 execution finds that list empty and drops the second step.
 """
@@ -26,8 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_CHUNK = 2_000_000
-# Chunks are of equal width in position, not of equal size, so cut finer.
+# Quantiles are approximate, and ties sit beside them, so cut finer.
 OVERSPLIT = 4
+# Chunks of one entity at most: an entity with more than CUTS * ROWS_PER_CHUNK / OVERSPLIT
+# rows has chunks of rows / CUTS.
+CUTS = 256
+STEP = 16  # borders looked at together
+WIDE = 1024  # numbers kept free for the chunks inside one position
 NULL_KEY_SLICES = 4096
 
 CHUNK = "__chunk"
@@ -61,25 +67,34 @@ class Timeline:
     # -- chunking ---------------------------------------------------------
 
     def hot_keys(self, df: DataFrame) -> DataFrame:
-        """Entities with more than ``rows_per_chunk`` rows and the span they cover."""
+        """Entities with more than ``rows_per_chunk`` rows, and where their rows are to be cut.
+
+        The cuts are quantiles of the rows' positions, so one outlier does not matter.
+        A position that takes up several of them is heavy: it is cut by quantiles of the
+        tie-break. Quantiles are computed for the hot entities only.
+        """
         tie = self.tiebreak if self.tiebreak is not None else F.lit(0)
-        return (
-            df.where(self._keys_present())
-            .select(*self.keys, self.position.alias("__p"), tie.alias("__t"))
-            .groupBy(*self.keys)
-            .agg(
-                F.count(F.lit(1)).alias("__rows"),
-                F.min("__p").alias("__p_min"),
-                F.max("__p").alias("__p_max"),
-                F.min("__t").alias("__t_min"),
-                F.max("__t").alias("__t_max"),
-            )
-            .where(F.col("__rows") > self.rows_per_chunk)
-            .select(
-                *self.keys,
-                F.ceil(F.col("__rows") * OVERSPLIT / self.rows_per_chunk).cast("int").alias(HOT),
-                "__p_min", "__p_max", "__t_min", "__t_max",
-            )
+        rows = df.where(self._keys_present()).select(
+            *self.keys, self.position.cast("bigint").alias("__p"), tie.cast("bigint").alias("__t"))
+        counts = rows.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > self.rows_per_chunk)
+        parts = F.least(F.ceil(F.col("__rows") * OVERSPLIT / self.rows_per_chunk), F.lit(CUTS)).cast("int")
+        listed = counts.select(*self.keys, parts.alias(HOT))
+        steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+        cuts = (
+            rows.join(F.broadcast(listed), list(self.keys)).groupBy(*self.keys, HOT)
+            .agg(*[F.percentile_approx(c, steps, F.lit(CUTS * 64)).alias(f"{c}_q") for c in ("__p", "__t")])
+        )
+
+        def chosen(c: str) -> Column:
+            quantiles = F.coalesce(F.col(f"{c}_q"), F.array().cast("array<bigint>"))
+            place = F.transform(F.sequence(F.lit(1), F.col(HOT)), lambda i: F.floor(i * CUTS / F.col(HOT)).cast("int") - 1)
+            return F.filter(F.transform(place, lambda i: F.get(quantiles, i)), lambda x: x.isNotNull())
+
+        picked = cuts.select(*self.keys, HOT, *[chosen(c).alias(c) for c in ("__p", "__t")])
+        heavy = F.filter(F.array_distinct("__p"), lambda x: F.size(F.filter("__p", lambda y: y == x)) > 1)
+        return picked.select(
+            *self.keys, HOT, heavy.alias("__heavy"),
+            *[F.array_sort(F.array_distinct(c)).alias(f"{c}_cuts") for c in ("__p", "__t")],
         )
 
     def split(self, df: DataFrame) -> DataFrame:
@@ -87,26 +102,19 @@ class Timeline:
         if self.position is None:
             return df
         hot = F.broadcast(self.hot_keys(df))
-        frac = F.lit(0.0)
+        place, tie = self.position.cast("bigint"), F.lit(None).cast("bigint")
         if self.tiebreak is not None:
-            span = F.col("__t_max") - F.col("__t_min") + 1
-            frac = F.coalesce((self.tiebreak - F.col("__t_min")) / span, F.lit(0.0))
-        bucket = F.width_bucket(
-            (self.position + frac).cast("double"),
-            F.col("__p_min").cast("double"),
-            (F.col("__p_max") + 1).cast("double"),
-            F.col(HOT),
-        )
+            tie = self.tiebreak.cast("bigint")
+        index, below = _rank("__p_cuts", place), F.coalesce(_rank("__t_cuts", tie), F.lit(0))
+        border = F.get(F.col("__p_cuts"), index - 1)
+        inside = F.when(~F.array_contains("__heavy", border), F.lit(0)).when(place == border, below).otherwise(F.lit(WIDE - 1))
+        cut = F.when(place.isNull(), below - WIDE).otherwise(index * WIDE + F.coalesce(inside, F.lit(0)))
         null_slice = F.lit(-1) - F.pmod(F.xxhash64(*self.order), F.lit(NULL_KEY_SLICES))
-        chunk = (
-            F.when(~self._keys_present(), null_slice)
-            .when(F.col(HOT).isNotNull(), F.coalesce(bucket, F.lit(0)))
-            .otherwise(F.lit(0))
-        )
+        chunk = F.when(~self._keys_present(), null_slice).when(F.col(HOT).isNotNull(), cut).otherwise(F.lit(0))
         return (
             df.join(hot, list(self.keys), "left")
             .withColumn(CHUNK, chunk.cast("bigint"))
-            .drop("__p_min", "__p_max", "__t_min", "__t_max")
+            .drop("__heavy", "__p_cuts", "__t_cuts")
         )
 
     def unsplit(self, df: DataFrame) -> DataFrame:
@@ -228,6 +236,15 @@ class Timeline:
         return local.withColumns(result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
 
+def _rank(borders: str, value: Column) -> Column:
+    """Number of borders at or below a value; the sorted array is looked at in two steps."""
+    whole = F.col(borders)
+    heads = F.transform(F.sequence(F.lit(0), F.floor((F.size(whole) - 1) / STEP).cast("int")), lambda i: F.get(whole, i * STEP))
+    block = F.size(F.filter(heads, lambda x: x <= value))
+    rest = F.size(F.filter(F.slice(whole, (F.greatest(block, F.lit(1)) - 1) * STEP + 1, F.lit(STEP)), lambda x: x <= value))
+    return F.when(value.isNotNull(), F.when((F.size(whole) < 1) | (block < 1), F.lit(0)).otherwise((block - 1) * STEP + rest))
+
+
 # -- one-step forms ----------------------------------------------------------
 
 

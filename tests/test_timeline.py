@@ -108,6 +108,31 @@ def test_hot_entity_is_cut_and_order_kept(spark):
     assert len({c for (k, c) in sizes if k is None}) > 1  # rows without a key are spread
 
 
+def chunk_sizes(spark, data, rows_per_chunk):
+    cut = line(rows_per_chunk).split(spark.createDataFrame(data, SCHEMA)).where("k = 'hot'")
+    ordered = [r[CHUNK] for r in cut.orderBy("pos", "seq").collect()]
+    assert ordered == sorted(ordered)
+    return [ordered.count(c) for c in set(ordered)]
+
+
+@pytest.mark.parametrize("shape", ["one old row", "one time for all", "no times", "half at one time", "dense"])
+def test_no_chunk_is_much_larger_than_wanted(spark, shape):
+    now, n = 1_700_000_000_000_000, 6000
+    pos = {
+        "one old row": lambda i: 0 if i == 0 else now + i, "one time for all": lambda i: now, "no times": lambda i: None,
+        "half at one time": lambda i: now + (0 if i % 2 else i), "dense": lambda i: now + i // 3,
+    }[shape]
+    sizes = chunk_sizes(spark, [("hot", pos(i), i, "x") for i in range(n)] + [("a", 1, n, "x")], 500)
+    assert sum(sizes) == n and max(sizes) <= 1000
+
+
+@pytest.mark.parametrize("mode", ["forward", "following", "next"])
+def test_heavy_positions_equal_brute_force(spark, mode):
+    rnd = random.Random(1)
+    data = [("hot", rnd.choice([5, 5, 5, 5, 2, 9, 7]), i, rnd.choice([None, None, "x", "y"])) for i in range(300)]
+    assert run(spark, data, line(20), mode) == brute(data, mode)
+
+
 def test_fill_is_idempotent(spark):
     df = spark.createDataFrame(make(5), SCHEMA)
     once = df.transform(timeline.forward_fill(line(12), {"v": "v"}))
