@@ -9,14 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftloom.llm.words import mix
+from shiftloom.llm.words import MASK, mix
 
 PROBES = 3
 
 
-def _places(keys: np.ndarray, log_bits: int) -> list[np.ndarray]:
-    step = mix(keys ^ np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
-    return [(mix(keys + step * np.uint64(i)) >> np.uint64(64 - log_bits)).astype(np.int64) for i in range(PROBES)]
+def _place(keys: np.ndarray, probe: int, log_bits: int) -> np.ndarray:
+    """Bit of a key for a probe. Keys are mixed hashes: the first probe takes them as they are."""
+    spread = mix(keys + np.uint64(0x9E3779B97F4A7C15 * probe & MASK)) if probe else keys
+    return (spread >> np.uint64(64 - log_bits)).astype(np.int64)
 
 
 class Bloom:
@@ -33,20 +34,23 @@ class Bloom:
         return bool(self.known(np.array([key], np.uint64))[0])
 
     def known(self, keys: np.ndarray) -> np.ndarray:
-        found = np.ones(len(keys), bool)
-        for place in _places(keys, self.log_bits):
-            found &= (self.cells[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+        left = np.arange(len(keys))
+        for probe in range(PROBES):  # few keys are left after the first
+            place = _place(keys[left], probe, self.log_bits)
+            left = left[(self.cells[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1]
+        found = np.zeros(len(keys), bool)
+        found[left] = True
         return found
 
     @classmethod
     def of(cls, keys: DataFrame, log_bits: int) -> Bloom:
-        """From a frame with one long column; 2**log_bits / 64 longs come to the driver at most."""
+        """From a frame with one long column of mixed hashes; 2**log_bits / 64 longs come to the driver at most."""
         name = keys.columns[0]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 values = batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64)
-                place = np.concatenate(_places(values, log_bits))
+                place = np.concatenate([_place(values, probe, log_bits) for probe in range(PROBES)])
                 bits = np.uint64(1) << (place & 63).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(place >> 6), pa.array(bits.view(np.int64))], names=["cell", "bits"])
 

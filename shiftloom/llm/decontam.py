@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from shiftloom.llm.bloom import Bloom
 from shiftloom.llm.frames import prepare, written
-from shiftloom.llm.words import Spans, mix, normal, texts, word_blocks
+from shiftloom.llm.words import MASK, Spans, mix, normal, texts, word_blocks
 
 # Fixed masks: six compared words in windows of up to eleven.
 MASKS = ("111111", "11011011", "1110010101", "10110001011", "11001010011")
@@ -27,20 +27,22 @@ MIN_WORDS = 13  # compared words that make a passage; a shorter item has to be t
 MIN_SHARE = 0.8  # of the compared words that are the same
 SHORT = 3  # items of fewer words are not looked for
 
-ODD = np.uint64(0x9E3779B97F4A7C15)
+# Factors of the first, second ... compared word: odd, from a fixed sequence.
+FACTORS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) & MASK | 1) for i in range(16)]
 
 
-def masked(words: np.ndarray, mask: str) -> np.ndarray:
-    """Hash of the words under the mask, for every place it fits."""
-    n = len(words) - len(mask) + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.full(n, len(mask), np.uint64)
-    for i, used in enumerate(mask):
-        if used == "1":
-            h = (h ^ words[i:i + n]) * ODD
-            h ^= h >> np.uint64(29)
-    return mix(h)
+def masked(words: np.ndarray, masks: tuple[str, ...]) -> list[np.ndarray]:
+    """Per mask the hash of the words under it, for every place it fits."""
+    weight = max(m.count("1") for m in masks)
+    terms = [words * FACTORS[i] for i in range(weight)]
+    found = []
+    for mask in masks:
+        n = max(0, len(words) - len(mask) + 1)
+        total = np.full(n, len(mask), np.uint64)
+        for term, i in zip(terms, (i for i, used in enumerate(mask) if used == "1")):
+            total += term[i:i + n]
+        found.append(mix(total))
+    return found
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -48,9 +50,9 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def seeds_of(words: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of every masked window; a text shorter than all masks is one window."""
-    found = [(masked(words, m), np.arange(max(0, len(words) - len(m) + 1))) for m in masks]
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    """(hash, first word) of every masked window."""
+    found = masked(words, masks)
+    return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
 
 
 def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
@@ -66,7 +68,7 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
             for item, data in zip(batch.column("item").to_pylist(), texts(batch)):
                 words = word_hashes(normal(data).split())
                 if SHORT <= len(words) < least:
-                    h, p = masked(words, "1" * len(words)), np.array([-1 - len(words)])
+                    h, p = masked(words, ("1" * len(words),))[0], np.array([-1 - len(words)])
                 elif len(words) >= least:
                     h, p = seeds_of(words, masks)
                 else:
@@ -83,8 +85,6 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
 
 def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...]) -> DataFrame:
     """(row, seed, at) of the masked windows of documents that the filter lets pass."""
-    least = min(map(len, masks))
-    whole = tuple("1" * n for n in range(SHORT, least))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,7 +92,7 @@ def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...]) -> DataFrame:
             for row, data in zip(batch.column("row").to_pylist(), texts(batch)):
                 at, overlap = 0, max(map(len, masks)) - 1
                 for words in word_blocks(normal(data), overlap):
-                    h, p = seeds_of(word_hashes(words), (*whole, *masks))
+                    h, p = seeds_of(word_hashes(words), masks)
                     found = known.known(h)
                     seeds.append(h[found])
                     places.append(p[found] + at)
@@ -144,7 +144,10 @@ def contaminated(
     """
     seeds = written(item_seeds(items, masks), "items")
     known = Bloom.of(seeds.select("seed").distinct(), log_bits)
-    found = written(hits(docs, known, masks), "hits").join(seeds, "seed")
+    # lengths of the items that are shorter than every mask, and looked for as a whole
+    short = seeds.where("place < 0").select("place").distinct().collect()
+    whole = tuple("1" * (-1 - r["place"]) for r in short)
+    found = written(hits(docs, known, (*masks, *whole)), "hits").join(seeds, "seed")
     # one row per document, item and shift, however many windows agree
     shifts = found.select("row", "item", F.when(F.col("place") < 0, F.col("at")).otherwise(F.col("at") - F.col("place")).alias("shift"))
     pairs = written(shifts.groupBy("row", "item").agg(F.collect_set("shift").alias("shifts")), "pairs")
