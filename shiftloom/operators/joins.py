@@ -64,6 +64,22 @@ def left_join_on(right: DataFrame, keys: Mapping[str, str]):
     return op
 
 
+def left_join_expr(right: DataFrame, on: Mapping[str, str]):
+    """Left join on equal expressions, ``{SQL over the left: SQL over the right}``.
+
+    The expressions become columns of their sides first, so that the join is an
+    equality of columns, whatever they are made of.
+    """
+
+    def op(df: DataFrame) -> DataFrame:
+        names = [f"__on_{i}" for i in range(len(on))]
+        left = df.withColumns({n: F.expr(e) for n, e in zip(names, on)})
+        side = right.withColumns({n: F.expr(e) for n, e in zip(names, on.values())})
+        return left.join(side, names, "left").drop(*names)
+
+    return op
+
+
 ROWS_PER_SLICE = 2_000_000
 KEYLESS_SLICES = 4096
 SLICES, SLICE = "__slices", "__slice"

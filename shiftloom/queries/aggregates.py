@@ -30,10 +30,10 @@ def left_join_composite(t: Tables) -> DataFrame:
 
 
 @query("left_join_renamed", "SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders LEFT JOIN customer "
-                            "ON o_custkey = c_custkey AND c_mktsegment = 'BUILDING'")
+                            "ON o_custkey = c_custkey")
 def left_join_renamed(t: Tables) -> DataFrame:
-    builders = t.customer.where(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
-    return t.orders.select("o_orderkey", "o_custkey").transform(joins.left_join_on(builders, {"o_custkey": "c_custkey"}))
+    named = t.customer.select("c_custkey", "c_name")
+    return t.orders.select("o_orderkey", "o_custkey").transform(joins.left_join_on(named, {"o_custkey": "c_custkey"}))
 
 
 @query("lookup_join", "SELECT c_custkey, c_nationkey, n_name AS nation FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey")
@@ -50,20 +50,16 @@ def lookup_join(t: Tables) -> DataFrame:
       FROM lineitem GROUP BY 1, 2)
     SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, ship_txt, lines FROM orders
     LEFT JOIN shipped ON o_orderkey = l_orderkey
-      AND CAST(o_orderdate AS DATE) <= CAST(strptime(ship_txt, '%m-%d-%Y') AS DATE)
-      AND strftime(o_orderdate, '%Y') = right(ship_txt, 4)
+      AND strftime(o_orderdate, '%m-%Y') = left(ship_txt, 2) || '-' || right(ship_txt, 4)
     """,
 )
 def join_on_expr(t: Tables) -> DataFrame:
+    """Equality of formatted texts: month of the order and month in the text of the shipment."""
     lines = t.lineitem.select("l_orderkey", dates.date_text("l_shipdate", "MM-dd-yyyy").alias("ship_txt"))
     shipped = lines.groupBy("l_orderkey", "ship_txt").agg(F.count(F.lit(1)).alias("lines"))
-    parsed = shipped.withColumn("shipped", dates.parse_date("ship_txt", "MM-dd-yyyy"))
     orders = t.orders.select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    same_year = (
-        (F.col("o_orderkey") == F.col("l_orderkey"))
-        & (F.year("day") == F.year("shipped")) & (F.col("day") <= F.col("shipped"))
-    )
-    return orders.join(parsed, same_year, "left").select("o_orderkey", "day", "ship_txt", "lines")
+    month = {"o_orderkey": "l_orderkey", "date_format(day, 'MM-yyyy')": "concat(left(ship_txt, 2), '-', right(ship_txt, 4))"}
+    return orders.transform(joins.left_join_expr(shipped, month)).select("o_orderkey", "day", "ship_txt", "lines")
 
 
 @query(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions import dates, rules
 from shiftloom.operators.aggregates import COMPLETED_PARTS, STATUS_COLUMNS, TOTAL_PARTS
-from shiftloom.operators.timeline import keep_first
 from shiftloom.plans import feeds, roster
 from shiftloom.plans import rule_tables as R
 from shiftloom.plans.snapshot import snapshot_fact as take_snapshot
@@ -303,18 +303,14 @@ def _parts(parts: list[str]) -> str:
     return "round((" + " + ".join(f'coalesce("{p}", 0.0)' for p in present) + ") / 60, 2)"
 
 
-_ONCE = "QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) = 1"
-
-
 @query(
     "roster_fact_sql",
     f"""
     WITH {USER_DAYS_SQL},
     attendance AS (SELECT 'u' || user_id AS who, CAST(ts AS DATE) AS shift_date, event_type AS highlevel_status,
-      nullif(event_id % 4, 0) AS updated, 6 * floor(value) AS mins, event_id FROM events WHERE event_type = 'signup'
-      {_ONCE}),
+      nullif(event_id % 4, 0) AS updated, 6 * floor(value) AS mins, event_id FROM events WHERE event_type = 'signup'),
     billed AS (SELECT 'u' || user_id AS who, CAST(ts AS DATE) AS bday, strftime(ts, '%m-%d-%Y') AS date, value, event_id
-      FROM events WHERE event_type = 'purchase' {_ONCE}),
+      FROM events WHERE event_type = 'purchase'),
     logged AS (SELECT DISTINCT CAST(ts AS DATE) AS sday, user_id, {_STATUS_OF_SQL} AS status, floor(value / 10) AS mins FROM events
       WHERE event_id % 6 <> 0),
     spent AS (SELECT sday, user_id, {', '.join(f'sum(mins) FILTER (WHERE status = {s!r}) AS "{c}"' for c, s in STATUS_COLUMNS.items() if s in _STATUS_OF.values())}
@@ -338,19 +334,19 @@ _ONCE = "QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER
     """,
 )
 def roster_fact_sql(t: Tables) -> DataFrame:
-    for name, frame in roster_tables(t).items():
-        frame.createOrReplaceTempView(name)
-    return roster.status_roster_tables(
-        t.spark, roster="shiftloom_roster", attendance="shiftloom_attendance", billed="shiftloom_billed",
-        timestamps="shiftloom_timestamps", roster_city="inside", work_city="inside", week_ending=None,
-    )
-
-
-
+    """The join as SQL. Its views have names of their own and are dropped once the plan is known."""
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in ("roster", "attendance", "billed", "timestamps")}
+    tables = roster_tables(t)
+    for name, view in names.items():
+        tables[name].createTempView(view)
+    try:
+        return roster.status_roster_tables(t.spark, **names, roster_city="inside", work_city="inside", week_ending=None)
+    finally:
+        for view in names.values():
+            t.spark.catalog.dropTempView(view)
 
 def roster_tables(t: Tables) -> dict[str, DataFrame]:
-    """The four warehouse tables, cut from events: attendance and billed hours hold a row per (user, day)."""
-    once = keep_first(["user_id", "day"], ["event_id"])
+    """The four warehouse tables, cut from events; attendance and billed hours may have several rows a day."""
     firsts = t.events.withColumn("day", event_day())
     who = F.concat(F.lit("u"), F.col("user_id").cast("string"))
     text_day, kind = F.date_format("ts", "MM-dd-yyyy"), F.col("event_type")
@@ -365,14 +361,14 @@ def roster_tables(t: Tables) -> dict[str, DataFrame]:
         F.when(lead == "view", F.lit("outside")).otherwise(F.lit("inside")).alias("city"),
     )
     iso_day = event_day().cast("string")
-    attendance = firsts.where(kind == "signup").transform(once).select(
+    attendance = firsts.where(kind == "signup").select(
         kind.alias("highlevel_status"), F.nullif(F.col("event_id") % 4, F.lit(0)).cast("string").alias("updated_status"),
         kind.alias("attendance_status"), F.col("event_id").cast("string").alias("srt_id"), who.alias("enterprise_id"),
         event_day().alias("shift_date"), kind.alias("shift_status"), kind.alias("system_status"), iso_day.alias("date_txt"),
         iso_day.alias("week_end_date_txt"), F.date_format("ts", "yyyy-MM").alias("report_month"),
         (6 * F.floor("value")).cast("string").alias("actual_time_min"),
     )
-    billed = firsts.where(kind == "purchase").transform(once).select(
+    billed = firsts.where(kind == "purchase").select(
         who.alias("enterprise id"), text_day.alias("date"), value.alias("total hours"), value.alias("completed time"),
         (F.col("event_id") % 3).cast("int").alias("hc"), F.lit("none").alias("adjustment types"),
     )
@@ -382,8 +378,7 @@ def roster_tables(t: Tables) -> dict[str, DataFrame]:
         F.floor(value / 10).cast("string").alias("time_in_status_mins"),
     )
     return {
-        "shiftloom_roster": people, "shiftloom_attendance": attendance,
-        "shiftloom_billed": billed, "shiftloom_timestamps": logged,
+        "roster": people, "attendance": attendance, "billed": billed, "timestamps": logged,
     }
 
 
