@@ -358,3 +358,85 @@ SCHEDULE_FACT_SQL = f"""
 def schedule_fact(t: Tables) -> DataFrame:
     """Every stage of the main edition."""
     return SF.build_schedule_fact(_inputs(t), RUN_DATE, "main")
+
+
+@query(
+    "schedule_fact_2022",
+    f"""
+    WITH {_GRID_SQL},
+    roster AS (SELECT user_id AS r_id, day AS r_day, {', '.join(f'{sql} AS "{c}"' for c, sql in _ROSTER.items())}
+      FROM user_days WHERE kind <> 'view'),
+    joined AS (SELECT g.user_id, g.eid, g.date, g.date AS day, g.week_ending, g.value, roster.* EXCLUDE (r_id, r_day)
+      FROM grid g LEFT JOIN roster ON r_id = g.user_id AND r_day = g.date),
+    carried AS (SELECT user_id, eid, date, week_ending, value, {', '.join(f'"{c}"' for c in _OWN_DAY)},
+      {', '.join(f'{carry(c)} AS c_{c}' for c in _CARRIED)}, {_FLAGS_SQL} FROM joined),
+    promoted AS (SELECT * REPLACE (CASE WHEN c_role = 'Trainee' AND date >= min(CASE WHEN "WD" = 1 AND c_role = 'Trainee' THEN date END)
+        OVER (PARTITION BY user_id) THEN 'Analyst' ELSE c_role END AS c_role),
+      CASE WHEN user_id % 5 = 0 THEN DATE '1899-12-30' + CAST(45310 + user_id % 7 AS INTEGER) ELSE DATE '1900-01-01' END AS roll_off FROM carried),
+    {_WSC_SQL.format(source='promoted')}
+    SELECT eid AS "EID", c_role AS "ROLE", 'n' || user_id AS "NAME", '#' || user_id AS "SRT ID", CAST(user_id % 4 AS VARCHAR) AS "WAVE",
+      c_employee_status AS "STATUS", strftime(DATE '1899-12-30' + 44000, '%m/%d/%Y') AS "ROLL IN DATE", strftime(roll_off, '%m/%d/%Y') AS "ROLL OFF DATE",
+      c_team_lead AS "SUPERVISOR CURRENT", c_ops_lead_eid AS "OPS", upper(c_cluster) AS "MARKET", c_skills AS "Flow Skills",
+      CASE WHEN c_workflow = 'CO - Customer Support' THEN 'CUSTOMER_SUPPORT' WHEN c_workflow LIKE 'CO -%' THEN 'COMMUNITY_OPS'
+        WHEN c_workflow = 'Non-Rec' THEN 'COMMUNITY_OPS' ELSE c_workflow END AS "PBU", c_current_workflow AS "SLOB", c_workflow AS "LOB",
+      'x' AS "SHIFT BLOCK", date, value, {_SHIFT_SQL} AS shift, week_ending, "Schedule", "WD", "LOA", "PTO",
+      CAST(coalesce("WD" = 1 AND rta_status = 'Abs' AND (srtf_total_hrs < 1 OR srtf_total_hrs IS NULL), FALSE) AS INTEGER) AS "ABS",
+      "Leave", iw_highlevel_status, iw_attendance_status, "status_final_AL", rta_status, rta_status_code, srtf_total_hrs,
+      srtf_completed_time, iw_actual_time, "WH", {_WSC} AS "WSC", c_billable AS billable FROM marked
+    """,
+)
+def schedule_fact_2022(t: Tables) -> DataFrame:
+    """The edition without overlays, change texts and roll-off status."""
+    return SF.build_schedule_fact(_inputs(t), RUN_DATE, "2022")
+
+
+_NO_VALUE = ["iw_highlevel_status", "iw_attendance_status", "status_final_AL", "rta_status", "rta_status_code", "unplanned_abs",
+             "planned_loa", "planned_pto", "scheduled_rta", "role_change", "cross_change", "roll_off/reassignment"]
+_EVENTS_2024 = ["early_end", "abs_from", "abs_to", "loa_from", "loa_to", "attr_from", "x_unit", "x_flow", "x_eff", "slob_eff", "slob_new"]
+_SQL_2024 = f"""
+    WITH {_GRID_SQL},
+    {dated_sql('early', 'view', f'{_DAY} AS day, {_DAY} AS early_end', f'{_AFTER}')},
+    {dated_sql('cross_skill', 'purchase', f'{_DAY} AS day, {_DAY} AS x_eff, {_X_UNIT} AS x_unit, {_X_FLOW} AS x_flow', f'{_DAY} - 1 > DATE ' + "'2024-01-13'")},
+    {dated_sql('ch_slob', 'view', f'{_DAY} AS day, {_DAY} AS slob_eff, {_CH_SLOB} AS slob_new')},
+    asked AS (SELECT event_id, user_id, {_DAY} AS day, {_TICKET_KIND} AS change FROM events WHERE event_type = 'signup' AND event_id % 5 > 0),
+    tickets AS (SELECT event_id, user_id AS who, day, change FROM asked UNION ALL
+      SELECT event_id, user_id + 1, day, change FROM asked WHERE event_id % 8 < 4),
+    {_ticket_sql('t_abs', 'Absenteeism', 'day AS abs_from, day + 3 AS abs_to')},
+    {_ticket_sql('t_loa', 'LOA', 'day AS loa_from, day + 3 AS loa_to')},
+    {_ticket_sql('t_attr', 'Managed Attrition', 'day AS attr_from')},
+    joined AS (SELECT g.user_id, g.eid, g.date, g.date AS day, g.week_ending, g.value, {', '.join(_EVENTS_2024)} FROM grid g
+      {' '.join(f'LEFT JOIN {e} ON {e}.who = g.user_id AND {e}.day = g.date' for e in ('early', 't_abs', 't_loa', 't_attr', 'cross_skill', 'ch_slob'))}),
+    carried AS (SELECT user_id, eid, date, week_ending, value, {', '.join(f'{carry(c)} AS {c}' for c in _EVENTS_2024)},
+      count(slob_eff) OVER (PARTITION BY user_id) > 0 AS flow_changed,
+      CASE WHEN user_id % 5 = 0 THEN DATE '1899-12-30' + CAST(45310 + user_id % 7 AS INTEGER) ELSE DATE '1900-01-01' END AS roll_off FROM joined),
+    left_early AS (SELECT * REPLACE (CASE WHEN date > early_end THEN '-' ELSE value END AS value) FROM carried),
+    fcst AS (SELECT *, CASE WHEN (date BETWEEN abs_from AND abs_to OR date BETWEEN loa_from AND loa_to) AND value NOT IN ('L1', 'L2') THEN 1
+      WHEN date > attr_from AND value <> '-' THEN 1 ELSE 0 END AS abs_fcst, {_FLAGS_SQL},
+      CASE WHEN date >= x_eff THEN x_unit ELSE 'x' END AS pbu, 'x' AS lob, replace(replace(CASE WHEN date >= x_eff THEN x_flow ELSE 'x' END,
+      'OBJECTS/IGPR', 'Objects/IGPR'), 'MESSENGER', 'Messenger') AS slob FROM left_early),
+    pass1 AS (SELECT * REPLACE ({_lob_rules("pbu = 'CUSTOMER_SUPPORT' AND slob = 'IDVAAS'")} AS lob) FROM fcst),
+    changed AS (SELECT * REPLACE (CASE WHEN date >= slob_eff THEN slob_new ELSE slob END AS slob) FROM pass1),
+    pass2 AS (SELECT * REPLACE ({_lob_rules("pbu = 'CUSTOMER_SUPPORT'")} AS lob) FROM changed),
+    settled AS (SELECT * REPLACE (CASE WHEN lob = 'CO - Customer Support' THEN 'IDVAAS' ELSE slob END AS slob) FROM pass2),
+    support AS (SELECT * REPLACE (CASE WHEN slob IN ('Policy', 'Training') AND flow_changed THEN 'CO - PTQ' ELSE lob END AS lob) FROM settled),
+    {_WSC_SQL.format(source='support')}
+    SELECT eid AS "EID", 'Analyst' AS "ROLE", 'n' || user_id AS "NAME", '#' || user_id AS "SRT ID", CAST(user_id % 4 AS VARCHAR) AS "WAVE",
+      'Active' AS "STATUS", strftime(DATE '1899-12-30' + 44000, '%m/%d/%Y') AS "ROLL IN DATE", strftime(roll_off, '%m/%d/%Y') AS "ROLL OFF DATE",
+      {', '.join(f"'x' AS " + f'"{c}"' for c in ('SUPERVISOR CURRENT', 'OPS', 'MARKET', 'Flow Skills', 'SupportRole', 'SAP ID', 'SHIFT BLOCK'))},
+      CASE pbu WHEN 'CUSTOMER_SUPPORT' THEN 'COMMUNITY_OPS' ELSE pbu END AS "PBU", slob AS "SLOB",
+      CASE lob WHEN 'CO - Customer Support' THEN 'CO - Graph Integrity' ELSE lob END AS "LOB", date, value, {_SHIFT_SQL} AS shift, week_ending,
+      "Schedule", "WD", "LOA", "PTO", abs_fcst AS "ABS", "Leave", {', '.join(f'CAST(NULL AS VARCHAR) AS "{c}"' for c in _NO_VALUE)},
+      CAST(NULL AS DOUBLE) AS srtf_total_hrs, {_WSC} AS "WSC"%s FROM marked
+    """
+
+
+@query("schedule_fact_2024", _SQL_2024.replace("%s", ""))
+def schedule_fact_2024(t: Tables) -> DataFrame:
+    """The edition that takes attributes from the sheet and leaves exits alone."""
+    return SF.build_schedule_fact(_inputs(t), RUN_DATE, "2024")
+
+
+@query("schedule_fact_2024_wfh", _SQL_2024.replace("%s", ', abs_fcst AS "ABS_FCST"'))
+def schedule_fact_2024_wfh(t: Tables) -> DataFrame:
+    """As the 2024 edition, with the forecast column."""
+    return SF.build_schedule_fact(_inputs(t), RUN_DATE, "2024_wfh")
