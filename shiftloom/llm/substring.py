@@ -135,19 +135,20 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, log_bits:
     another one, or in a copy of the text.
     """
     prepare(docs.sparkSession)
-    every = written(occurrences(docs, length, gram), "seeds").repartition("seed")
+    # Every join is between written tables, where adaptive execution can split a hot seed.
+    every = written(occurrences(docs, length, gram), "seeds")
+    again = written(every.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("seed"), "again")
+    hits = written(every.join(again, "seed", "left_semi"), "hits")
     one = F.struct(*TEXT_KEY, "first", "windows")
-    classes = every.groupBy("seed", "region").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one"))
-    classes = written(classes.join(
-        classes.groupBy("seed").agg(F.sum("n").alias("occurs"), F.count(F.lit(1)).alias("regions")), "seed"
-    ).where("occurs > 1"), "regions")
-    whole = every.join(classes.where("n > 1").select("seed", "region"), ["seed", "region"]).select(*TEXT_KEY, "first", "windows")
-
-    ends = classes.where("regions > 1").select("seed", "one.k1", "one.k2", "one.first")
-    chosen = Bloom.of(_keys(ends), log_bits)
-    windows = written(extensions(docs, chosen, length, gram), "windows")
+    classes = written(hits.groupBy("seed", "region").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("one")), "regions")
+    same = written(classes.where("n > 1").select("seed", "region"), "same")
+    whole = hits.join(same, ["seed", "region"], "left_semi").select(*TEXT_KEY, "first", "windows")
+
+    many = written(classes.groupBy("seed").agg(F.count(F.lit(1)).alias("regions")).where("regions > 1").select("seed"), "many")
+    ends = classes.join(many, "seed", "left_semi").select("seed", "one.k1", "one.k2", "one.first")
+    windows = written(extensions(docs, Bloom.of(_keys(ends), log_bits), length, gram), "windows")
     spot = ["seed", "offset", "window"]
-    twice = windows.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*spot)
+    twice = written(windows.groupBy(*spot).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*spot), "twice")
     inside = windows.join(twice, spot, "left_semi").select(*TEXT_KEY, "first", F.lit(1).cast("long").alias("windows"))
 
     return whole.unionByName(inside).groupBy(*TEXT_KEY).agg(F.collect_set(F.struct("first", "windows")).alias("runs"))
