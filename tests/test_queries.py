@@ -39,5 +39,5 @@ def test_every_query_has_sql():
 def test_driver_entry(spark):
     import __spark_entry__ as entry
 
-    assert set(entry.queries()) == set(queries())
+    assert set(queries()) <= set(entry.queries())  # the llm queries come on top where they are installed
     assert entry.FLAGSHIP in entry.queries()
