@@ -1,0 +1,67 @@
+import random
+
+import pytest
+
+from shiftloom.llm import minhash, simhash
+
+from .helpers import frame, words
+
+
+def changed(rng, n, k):
+    """Two texts of n words of which k, well apart, are replaced: 5 * k shingles differ."""
+    w = [f"v{rng.getrandbits(40)}" for _ in range(n)]
+    x, step = list(w), (n - 8) // k
+    for i in range(k):
+        x[4 + i * step + rng.randrange(step - 4)] = f"x{rng.getrandbits(40)}"
+    return " ".join(w), " ".join(x)
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[i:i + 5]) for w in [words(t)] for i in range(len(w) - 4)} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+# words, replaced words, similarity
+GRADES = [(194, 2, 0.9), (189, 3, 0.85), (184, 4, 0.8), (179, 5, 0.75), (174, 6, 140 / 200), (139, 4, 115 / 155)]
+
+
+def test_every_pair_from_four_fifths_on_goes_and_none_below(spark):
+    rng, rows, want = random.Random(8), [], set()
+    for n, k, share in GRADES:
+        for _ in range(100):
+            a, b = changed(rng, n, k)
+            assert jaccard(a, b) == pytest.approx(share)
+            i = len(rows)
+            rows += [(i, a, "en", "a", 1), (i + 1, b, "en", "a", 1)]
+            want |= {i} if share >= 0.8 else {i, i + 1}
+    assert {r["doc_id"] for r in simhash.deduplicate(frame(spark, rows).repartition(5)).collect()} == want
+
+
+def test_components_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = []
+    for g in range(12):
+        w = [f"g{g}w{i}" for i in range(90)]
+        for m in range(10):
+            x = list(w)
+            for i in rng.sample(range(90), rng.randrange(3)):
+                x[i] = f"x{rng.getrandbits(30)}"
+            rows.append((len(rows), " ".join(x), "en", "a", 1))
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if i // 10 == j // 10 and group[i] != group[j] and jaccard(rows[i][1], rows[j][1]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    assert len({g for g in group}) not in (12, len(rows))
+    kept = {r["doc_id"] for r in simhash.deduplicate(frame(spark, rows)).collect()}
+    assert kept == {min(i for i, h in enumerate(group) if h == g) for g in group}
+
+
+def test_long_texts_in_blocks_have_the_same_shingles(monkeypatch):
+    from shiftloom.llm import words as w
+
+    text = " ".join(f"w{i * i % 977}" for i in range(4000)).encode()
+    whole = minhash.shingles(text, 5)
+    monkeypatch.setattr(minhash, "word_blocks", lambda data, overlap: w.word_blocks(data, overlap, 500))
+    assert minhash.shingles(text, 5).tolist() == whole.tolist()
+    assert len(minhash.shingles(b"", 5)) == 0 and len(minhash.shingles(b"a b", 5)) == 1
