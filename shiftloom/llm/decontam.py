@@ -9,6 +9,7 @@ are laid side by side and compared word by word.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ LOG_BITS = 24  # of the filter of benchmark hashes: 2 MB
 MIN_WORDS = 13  # compared words that make a passage; a shorter item has to be there as a whole
 MIN_SHARE = 0.8  # of the compared words that are the same
 SHORT = 3  # items of fewer words are not looked for
+LONG = 12  # from so many words on, no substitutions that MIN_SHARE allows hide an item from all MASKS
+WEIGHT = 4  # compared words of the further masks for shorter items
 ROW = "__row"  # names a row of a materialised table
 
 # Factors of the first, second ... compared word: odd, from a fixed sequence.
@@ -34,7 +37,7 @@ FACTORS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) & MASK | 1) for i in ran
 
 def masked(words: np.ndarray, masks: tuple[str, ...]) -> list[np.ndarray]:
     """Per mask the hash of the words under it, for every place it fits."""
-    weight = max(m.count("1") for m in masks)
+    weight = max((m.count("1") for m in masks), default=0)
     terms = [words * FACTORS[i] for i in range(weight)]
     found = []
     for mask in masks:
@@ -46,6 +49,28 @@ def masked(words: np.ndarray, masks: tuple[str, ...]) -> list[np.ndarray]:
     return found
 
 
+def gapped(n: int, min_share: float) -> tuple[str, ...]:
+    """Masks over a whole item of ``n`` words, of which one avoids whatever words may differ.
+
+    The words are dealt to groups; each mask leaves out as many groups as words may
+    differ. There are as few groups as leave :data:`WEIGHT` words, or all but those.
+    """
+    k = int(n * (1 - min_share) + 1e-9)
+    if not k:
+        return ()
+    for groups in range(k + 1, n + 1):
+        masks = {"".join("0" if i % groups in gone else "1" for i in range(n)) for gone in combinations(range(groups), k)}
+        if groups == n or min(m.count("1") for m in masks) >= WEIGHT:
+            return tuple(sorted(masks))
+    return ()
+
+
+def whole_masks(n: int, masks: tuple[str, ...], min_share: float) -> tuple[str, ...]:
+    """Masks over a whole item of ``n`` words, for those that ``masks`` do not find for certain."""
+    exact = ("1" * n,) if n < min(map(len, masks)) else ()
+    return exact + (gapped(n, min_share) if n < LONG else ())
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return Spans(words).hashes(np.arange(len(words)), 1)
 
@@ -56,10 +81,10 @@ def seeds_of(words: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.
     return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
 
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(seed, item, place): masked windows of the benchmark; short items as a whole.
+def item_seeds(items: DataFrame, masks: tuple[str, ...], min_share: float = MIN_SHARE) -> DataFrame:
+    """(seed, item, place): masked windows of the benchmark; short items also as a whole.
 
-    ``place`` is -1 - n for an item of n words that is shorter than the shortest mask.
+    ``place`` is -1 - n for a mask over a whole item of n words.
     """
     least = min(map(len, masks))
 
@@ -68,15 +93,14 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
             seeds, owners, places = [], [], []
             for item, data in zip(batch.column("item").to_pylist(), texts(batch)):
                 words = word_hashes(normal(data).split())
-                if SHORT <= len(words) < least:
-                    h, p = masked(words, ("1" * len(words),))[0], np.array([-1 - len(words)])
-                elif len(words) >= least:
-                    h, p = seeds_of(words, masks)
-                else:
+                if len(words) < SHORT:
                     continue
-                seeds.append(h)
-                places.append(p)
-                owners.append(np.full(len(h), item, np.int64))
+                found = [seeds_of(words, masks)] if len(words) >= least else []
+                found += [(h, np.array([-1 - len(words)])) for h in masked(words, whole_masks(len(words), masks, min_share))]
+                for h, p in found:
+                    seeds.append(h)
+                    places.append(p)
+                    owners.append(np.full(len(h), item, np.int64))
             if seeds:
                 yield pa.RecordBatch.from_pydict({
                     "seed": np.concatenate(seeds).view(np.int64), "item": np.concatenate(owners), "place": np.concatenate(places)})
@@ -107,11 +131,12 @@ def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...]) -> DataFrame:
 
 
 def passages(text: np.ndarray, item: np.ndarray, shifts: list[int], min_words: int, min_share: float) -> list[tuple[int, int, int, int]]:
-    """(first word in text, first in item, words, same words) of the best passage per shift.
+    """(first word in text, first in item, words, same words) of the longest passage per shift.
 
     A shift is place in text minus place in item. Laid side by side, same words count
-    ``1 - min_share`` and others ``-min_share``; the run with the highest sum is the
-    passage, so both its ends are sound and at least ``min_share`` of it is the same.
+    ``1 - min_share`` and others ``-min_share``; a run whose sum is not negative has
+    ``min_share`` of its words the same. Of the longest runs the one with most same words
+    counts, and of these one that begins with a same word, then the first.
     """
     found = []
     need = min(min_words, len(item))
@@ -120,13 +145,18 @@ def passages(text: np.ndarray, item: np.ndarray, shifts: list[int], min_words: i
         if last - first < need:
             continue
         same = text[first + shift:last + shift] == item[first:last]
-        score = np.concatenate(([0.0], np.cumsum(np.where(same, 1 - min_share, -min_share))))
-        low = np.minimum.accumulate(score)
-        end = int(np.argmax(score - low))
-        begin = int(np.flatnonzero(score[:end + 1] == low[end])[0])
-        words = end - begin
-        if words >= need and same[begin:end].sum() >= min_share * words:
-            found.append((first + begin + shift, first + begin, words, int(same[begin:end].sum())))
+        count = np.concatenate(([0], np.cumsum(same)))
+        score = count - min_share * np.arange(len(count))
+        high = np.maximum.accumulate(score[::-1])[::-1]  # falls: the last place that is high enough ends the longest run
+        ends = np.searchsorted(-high, 1e-9 - score, side="right") - 1
+        lengths = ends - np.arange(len(score))
+        words = int(lengths.max())
+        if words >= need and words:
+            begins = np.flatnonzero(lengths == words)
+            n_same = count[begins + words] - count[begins]
+            best = int(np.argmax(2 * n_same + same[begins]))
+            begin = int(begins[best])
+            found.append((first + begin + shift, first + begin, words, int(n_same[best])))
     return found
 
 
@@ -143,11 +173,11 @@ def contaminated(
     by its items. A passage has ``min_words`` compared words, or the whole item if that
     is shorter. Null texts have no words. Repeated items count once.
     """
-    seeds = written(item_seeds(items, masks), "items")
+    seeds = written(item_seeds(items, masks, min_share), "items")
     known = Bloom.of(seeds.select("seed").distinct(), log_bits)
-    # lengths of the items that are shorter than every mask, and looked for as a whole
+    # lengths of the items that are looked for as a whole, too
     short = seeds.where("place < 0").select("place").distinct().collect()
-    whole = tuple("1" * (-1 - r["place"]) for r in short)
+    whole = tuple(m for n in sorted(-1 - r["place"] for r in short) for m in whole_masks(n, masks, min_share))
     found = written(hits(docs, known, (*masks, *whole)), "hits").join(seeds, "seed")
     # one row per document, item and shift, however many windows agree
     shifts = found.select("row", "item", F.when(F.col("place") < 0, F.col("at")).otherwise(F.col("at") - F.col("place")).alias("shift"))

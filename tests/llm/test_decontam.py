@@ -68,3 +68,41 @@ def test_masks_agree_on_equal_words_only():
     for mask, a, b in zip(decontam.MASKS, decontam.masked(words, decontam.MASKS), decontam.masked(changed, decontam.MASKS)):
         differ = {i for i in range(len(a)) if a[i] != b[i]}
         assert differ == {20 - j for j, used in enumerate(mask) if used == "1"}
+
+
+def longest(same, min_share=0.8):
+    n = len(same)
+    return max((e - b for b in range(n) for e in range(b + 1, n + 1) if 10 * sum(same[b:e]) >= 10 * min_share * (e - b)), default=0)
+
+
+def test_longest_passage_equals_brute_force():
+    from itertools import combinations
+
+    rng = random.Random(6)
+    for n in range(5, 31):
+        item = np.arange(n, dtype=np.uint64)
+        changes = [c for k in (0, 1, 2) for c in combinations(range(n), k)] + [rng.sample(range(n), k) for k in range(3, n // 2) for _ in range(30)]
+        for change in changes:
+            text = np.concatenate((np.full(4, 1000, np.uint64), item, np.full(4, 1001, np.uint64)))
+            text[[4 + c for c in change]] = 999
+            same = [i not in set(change) for i in range(n)]
+            got = decontam.passages(text, item, [4], 13, 0.8)
+            want = longest(same)
+            assert [g[2] for g in got] == ([want] if want >= min(13, n) else []), (n, change)
+            assert all(g[0] == g[1] + 4 and g[3] == sum(same[g[1]:g[1] + g[2]]) >= 0.8 * g[2] for g in got)
+
+
+def test_items_with_substitutions_at_all_places(spark):
+    rng, items, rows, want = random.Random(9), [], [], set()
+    for n in (5, 7, 9, 10, 11, 12, 13, 15, 20):
+        item = [f"i{n}w{i}" for i in range(n)]
+        items.append((n, " ".join(item)))
+        for k in range(1, n // 5 + 2):
+            for start in range(n):
+                change = {start, *rng.sample(range(n), k - 1)} if k > 1 else {start}
+                same = [i not in change for i in range(n)]
+                rows.append((len(rows), " ".join(["a b c", *(w if s else "other" for w, s in zip(item, same)), "d e f"]), "en", "a", 1))
+                if longest(same) >= min(13, n):
+                    want.add((rows[-1][0], n))
+    got = decontam.report(frame(spark, rows), frame(spark, items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
