@@ -69,3 +69,15 @@ def test_own_topic_and_no_python(spark):
     assert {r[0] for r in out.select("__topic").distinct().collect()} == {None, "fives"}
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_document_of_a_new_source_beside_large_ones(spark):
+    rows = [(i, "w " * 500, "en" if i % 3 else "de", f"s{i % 20}", 1) for i in range(2000)] + [(9999, "a few words", "en", None, 1)]
+    df = frame(spark, rows)
+    out = mixing.drawn(df).withColumn("t", mixing.tokens_of(F.col("text")))
+    total, taken = out.agg(F.sum("t"), F.sum(F.col("t") * F.col("__p"))).first()
+    assert taken > 0.65 * total
+    assert [(r["__p"], r["__drawn"]) for r in out.where("doc_id = 9999").collect()] == [(1.0, True)]
+    found = {(r["dim"], r["value"]): r for r in mixing.marginals(df).collect()}
+    assert [k for k, r in found.items() if not r["met"]] == [("source", None)]
+    assert found["source", None]["taken"] == found["source", None]["have"] == 4
