@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftloom.llm import brown, chat, decontam, licenses, mixing, pii, quality, sharding, simhash, substring
+from shiftloom.llm import brown, chat, decontam, infill, licenses, mixing, pii, quality, sharding, simhash, substring, tokens, vectors
 from shiftloom.llm.frames import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,4 +119,82 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir))
 
 
+@query
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.compress(table(spark, sf_dir, "embeddings"))
+
+
+_BOOK = """
+near{n} AS (
+  SELECT r, p, min_by(e, d * 256 + e) AS e, min(d) AS d
+  FROM (SELECT q.r, q.p, b.e, list_sum(list_transform(list_zip(q.x, b.x), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM part q JOIN book{n} b ON q.p = b.p)
+  GROUP BY r, p)"""
+_NEXT = """
+mean{n} AS (
+  SELECT p, e, list(m ORDER BY i) AS x
+  FROM (SELECT a.p, a.e, u.i, CAST(floor(sum(u.c) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS m
+        FROM near{n} a JOIN (SELECT r, p, unnest(x) AS c, unnest(range(len(x))) AS i FROM part) u ON a.r = u.r AND a.p = u.p
+        GROUP BY ALL)
+  GROUP BY p, e),
+book{m} AS (SELECT b.p, b.e, coalesce(n.x, b.x) AS x FROM book{n} b LEFT JOIN mean{n} n ON b.p = n.p AND b.e = n.e)"""
+
+# The vectors of the tables have one length, which four divides.
+SQL["op11_codes"] = (
+    """
+WITH vec AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+part AS (SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM vec, (VALUES (0), (1), (2), (3)) t(p)),
+book0 AS (SELECT p, r - 1 AS e, x FROM part WHERE r <= 256),"""
+    + ",".join(_BOOK.format(n=n) + "," + _NEXT.format(n=n, m=n + 1) for n in range(vectors.ROUNDS)) + "," + _BOOK.format(n=vectors.ROUNDS)
+    + f""",
+coded AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{vectors.ROUNDS} GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS h FROM book{vectors.ROUNDS})
+SELECT v.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM vec v JOIN coded c ON v.r = c.r, books
+"""
+)
+
+
+@query
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.report(table(spark, sf_dir))
+
+
+SQL["op12_infill"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+numbers AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS c2,
+         t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 AS plain,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 AS spm FROM drawn),
+cut AS (SELECT *, least(c1, c2) AS a, greatest(c1, c2) AS b FROM numbers),
+pieces AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1) AS suf FROM cut)
+SELECT doc_id, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN a END AS prefix_chars, CASE WHEN NOT plain THEN b - a END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN spm THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+                   ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM pieces
+"""
+
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counted(table(spark, sf_dir), vocabulary())
+
+
+def vocabulary() -> str:
+    """The public vocabulary: where its package says, or else in its folder."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return VOCABULARY
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
