@@ -127,7 +127,7 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BOOK = """
 near{n} AS (
   SELECT r, p, min_by(e, d * 256 + e) AS e, min(d) AS d
-  FROM (SELECT q.r, q.p, b.e, list_sum(list_transform(list_zip(q.x, b.x), z -> (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM (SELECT q.r, q.p, b.e, list_sum(list_transform(list_zip(q.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
         FROM part q JOIN book{n} b ON q.p = b.p)
   GROUP BY r, p)"""
 _NEXT = """
@@ -144,8 +144,8 @@ SQL["op11_codes"] = (
     """
 WITH vec AS (
   SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
-         list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
-  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 part AS (SELECT r, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM vec, (VALUES (0), (1), (2), (3)) t(p)),
 book0 AS (SELECT p, r - 1 AS e, x FROM part WHERE r <= 256),"""
     + ",".join(_BOOK.format(n=n) + "," + _NEXT.format(n=n, m=n + 1) for n in range(vectors.ROUNDS)) + "," + _BOOK.format(n=vectors.ROUNDS)
