@@ -11,6 +11,7 @@ it fits a budget and where it has to be cut are read from the table; nothing is
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -25,10 +26,10 @@ from shiftloom.llm.frames import prepare
 LIMIT = 512
 # The pattern that splits a text before the merges, as the vocabularies' library has it.
 PATTERN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-KNOWN_PIECES, KNOWN_PAIRS = 1 << 17, 1 << 18  # entries of a task's memories; a full one is begun anew
+KNOWN_PIECES, KNOWN_PAIRS = 1 << 18, 1 << 18  # entries of a worker's memories; a full one is kept beside a new one
 ENDINGS = ("'re", "'ve", "'ll")
 DOUBLE = regex.compile(r"\s\s")
-SHORT = 64  # bytes of a piece worth remembering
+SHORT = 64  # code points of a piece worth remembering
 
 
 def byte_letters() -> dict[str, int]:
@@ -52,17 +53,20 @@ class Vocabulary:
             raise ValueError("a merge comes before what it merges, or twice")
         # what the merges never make is no token
         self.tokens = {t for t in tokens if len(t) == 1 or t in self.made and self._apart(*self.parts[t], self.made[t])}
-        self.longest = max(map(len, self.tokens), default=1)
-        self._ends: dict = {}
-        for t in self.tokens:
+        self.numbers = {t: i for i, t in enumerate(sorted(self.tokens))}
+        self.names = sorted(self.tokens)
+        self._ends: dict[int, tuple[int, dict]] = {}  # by the last byte, then the one before: the token's number or -1, and what goes on
+        for t, number in self.numbers.items():
             node = self._ends
-            for byte in reversed(t):
-                node = node.setdefault(byte, {})
-            node[-1] = t
+            for byte in t[:0:-1]:
+                node = node.setdefault(byte, (-1, {}))[1]
+            node[t[0]] = number, node[t[0]][1] if t[0] in node else {}
         self.pattern = regex.compile(PATTERN)
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._older_pairs: dict[int, bool] = {}
         self._pieces: dict[str, bytes] = {}
+        self._older_pieces: dict[str, bytes] = {}
 
     @classmethod
     def read(cls, content: str) -> Vocabulary:
@@ -102,50 +106,56 @@ class Vocabulary:
             else:
                 return True
 
-    def fits(self, a: bytes, b: bytes) -> bool:
-        """Whether the two tokens stay two when they stand side by side."""
-        known = self._pairs.get((a, b))
+    def fits(self, a: int, b: int) -> bool:
+        """Whether the tokens of these numbers stay two when they stand side by side."""
+        pair = a * len(self.names) + b
+        known = self._pairs.get(pair)
         if known is None:
+            known = self._older_pairs.get(pair)
+            if known is None:
+                known = self._apart(self.names[a], self.names[b], len(self.ranks))
             if len(self._pairs) >= KNOWN_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[(a, b)] = self._apart(a, b, len(self.ranks))
+                self._pairs, self._older_pairs = {}, self._pairs
+            self._pairs[pair] = known
         return known
 
     def table(self, data: bytes) -> list[int]:
         """``out[i]``: tokens of the first i bytes of one piece."""
-        counts, last, fits, ends = [0] * (len(data) + 1), [b""] * (len(data) + 1), self.fits, self._ends
-        for i in range(1, len(data) + 1):
-            node, j = ends, i
-            while j:
-                j -= 1
-                node = node.get(data[j])
-                if node is None:
+        counts, last = [0], [-1]
+        size, pairs, fits = len(self.names), self._pairs, self.fits
+        for i in range(len(data)):
+            node, j = self._ends, i
+            while True:
+                found = node.get(data[j]) if j >= 0 else None
+                if found is None:
                     raise ValueError(f"no token ends at byte {i}")
-                token = node.get(-1)
-                if token is not None and (j == 0 or fits(last[j], token)):
-                    counts[i], last[i] = counts[j] + 1, token
-                    break
-            else:
-                raise ValueError(f"no token ends at byte {i}")
+                token, node = found
+                if token >= 0:
+                    if j == 0:
+                        break
+                    known = pairs.get(last[j] * size + token)
+                    if known or known is None and fits(last[j], token):
+                        break
+                j -= 1
+            counts.append(counts[j] + 1)
+            last.append(token)
         return counts
 
     def piece(self, text: str) -> bytes:
         """Tokens at the end of every code point of one piece, four bytes each."""
         known = self._pieces.get(text)
         if known is None:
-            data = text.encode()
-            counts = np.array(self.table(data), np.int32)
-            if len(data) > len(text):
-                codes = np.frombuffer(data, np.uint8)
-                own = counts[np.append(np.flatnonzero((codes & 0xC0) != 0x80)[1:], len(data))]
-            else:
-                own = counts[1:]
-            if text in ENDINGS:  # their first two signs are no ending yet
-                own[:2] = 1, 2
-            known = own.tobytes()
-            if len(data) <= SHORT:
+            known = self._older_pieces.get(text)
+            if known is None:
+                data = text.encode()
+                counts = self.table(data)
+                own = counts[1:] if len(data) == len(text) else [n for n, b in zip(counts[1:], data[1:] + b"a") if b & 0xC0 != 0x80]
+                if text in ENDINGS:  # their first two signs are no ending yet
+                    own[:2] = 1, 2
+                known = array("i", own).tobytes()
+            if len(text) <= SHORT:
                 if len(self._pieces) >= KNOWN_PIECES:
-                    self._pieces.clear()
+                    self._pieces, self._older_pieces = {}, self._pieces
                 self._pieces[text] = known
         return known
 
