@@ -184,6 +184,25 @@ class Timeline:
         result = {o: self._or_null(found[o]) for o in cols}
         return out.withColumns(result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
 
+    def running_max(self, df: DataFrame, cols: Mapping[str, str]) -> DataFrame:
+        """``{output: column}``: greatest value among the rows strictly before each row."""
+        tmp = {o: f"__max_{i}" for i, o in enumerate(cols)}
+        before = Window.partitionBy(*self.keys, *self.parts).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, -1)
+        out = df.select("*", *[F.max(cols[o]).over(before).alias(tmp[o]) for o in cols])
+        found = {o: tmp[o] for o in cols}
+        if self.parts:
+            chunks = Window.partitionBy(*self.keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+            borders = (
+                self._hot_rows(df)
+                .groupBy(*self.keys, *self.parts)
+                .agg(*[F.max(cols[o]).alias(tmp[o]) for o in cols])
+                .select(*self.keys, *self.parts, *[F.max(tmp[o]).over(chunks).alias(f"{tmp[o]}_b") for o in cols])
+            )
+            out = out.join(borders, [*self.keys, *self.parts], "left")
+            found = {o: f"greatest({tmp[o]}, {tmp[o]}_b)" for o in cols}
+        result = {o: self._or_null(found[o]) for o in cols}
+        return out.withColumns(result).drop(*tmp.values(), *[f"{t}_b" for t in tmp.values()])
+
     # -- helpers ----------------------------------------------------------
 
     def _present_sql(self) -> str:

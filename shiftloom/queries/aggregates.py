@@ -108,13 +108,13 @@ def late_fallback(t: Tables) -> DataFrame:
 @query(
     "group_sum",
     "SELECT user_id, coalesce(sum(CASE WHEN event_type = 'error' THEN event_id END), 0)::BIGINT AS errors, "
-    "sum(event_id)::BIGINT AS ids FROM events WHERE event_id % 7 <> 0 GROUP BY user_id",
+    "sum(event_id)::BIGINT AS ids FROM events WHERE event_type <> 'view' GROUP BY user_id",
 )
 def group_sum(t: Tables) -> DataFrame:
     rows = t.events.select(
-        "user_id", F.when(F.col("event_type") == "error", F.col("event_id")).alias("errors"), F.col("event_id").alias("ids")
+        "user_id", "event_type", F.when(F.col("event_type") == "error", F.col("event_id")).alias("errors"), F.col("event_id").alias("ids")
     )
-    return rows.transform(aggregates.group_sum(["user_id"], ["errors", "ids"], where=F.col("ids") % 7 != 0))
+    return rows.transform(aggregates.group_sum(["user_id"], ["errors", "ids"], where=F.col("event_type") != "view"))
 
 
 @query(
