@@ -16,18 +16,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftloom.operators.checks import distinct_values, duplicate_keys, exit_check
+from shiftloom.operators.projection import q
 from shiftloom.plans import feeds, roster
 from shiftloom.plans.schedule_fact import ScheduleInputs, build_schedule_fact, export_edges
 from shiftloom.plans.snapshot import snapshot_fact
 from shiftloom.session import configure
-from shiftloom.sources import readers, schemas, writers
+from shiftloom.sources import published, readers, schemas, writers
 
 @dataclass(frozen=True)
 class Feed:
     """Where a feed lies and how it is written. A bare path, or a list of paths, is CSV.
 
     ``header``: lines above the header of a CSV. ``multi_line=False``: no record spans
-    lines, so that files can be split.
+    lines, so that files can be split. ``format``: csv, parquet, or published for a table
+    of :mod:`shiftloom.sources.published`, which a job may read and replace in one run.
     """
 
     path: str | Sequence[str]
@@ -51,10 +53,13 @@ def read_feed(spark: SparkSession, path: Path, schema: T.StructType, header: int
     """The schema's columns of a feed, by name.
 
     ``ingest_seq`` adds the order of the rows in the files, which rules like "keep the
-    first" need (CSV only: Parquet keeps none, its feeds bring the column along).
+    first" need (CSV only: other feeds bring the column along).
     """
+    wanted = [*schema.names, *(["ingest_seq"] if ingest_seq else [])]
     if isinstance(path, Feed) and path.format == "parquet":
-        return readers.read_parquet(spark, path.path, [*schema.names, *(["ingest_seq"] if ingest_seq else [])])
+        return readers.read_parquet(spark, path.path, wanted)
+    if isinstance(path, Feed) and path.format == "published":
+        return published.read_published(spark, path.path).select(*[q(c) for c in wanted])
     return readers.conform(feed_texts(spark, path, schema.names, header, ingest_seq), _types(schema))
 
 
@@ -79,16 +84,29 @@ def files_of(pattern: str, days: Sequence[dt.date]) -> list[str]:
     return list(dict.fromkeys(day.strftime(pattern) for day in days))
 
 
+def replaced(df: DataFrame, path: str, publish: bool) -> DataFrame:
+    """Makes ``df`` the latest state at ``path`` and returns it as written.
+
+    With ``publish`` the switch is one rename: readers and a run that dies never see
+    half of it, and ``df`` may come from the table itself. Without it the folder is
+    plain Parquet, emptied before it is written.
+    """
+    if publish:
+        published.publish(df, path)
+        return published.read_published(df.sparkSession, path)
+    writers.write_latest(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 # -- feed jobs -------------------------------------------------------------------
 
 
 def run_daily_extract(spark: SparkSession, extract: Path, status_map: Path, run_date: dt.date, latest: str, backup: str,
-                      hours: int = 10, day: str = "today", header: int = 1) -> DataFrame:
+                      hours: int = 10, day: str = "today", header: int = 1, publish: bool = False) -> DataFrame:
     """Shift extract to the daily status feed; returns the feed as written."""
     raw = read_feed(configure(spark), extract, schemas.SHIFT_EXTRACT, header)
     out = feeds.daily_extract(raw, read_feed(spark, status_map, schemas.STATUS_MAP), run_date, hours, day)
-    writers.write_latest(out, latest)
-    written = spark.read.parquet(latest)
+    written = replaced(out, latest, publish)
     writers.write_csv(written, f"{backup}/run_date={run_date}")
     return written
 
@@ -124,11 +142,10 @@ def run_weekly_roster(spark: SparkSession, path: Path, week: str, out: str) -> N
 
 
 def run_roster(spark: SparkSession, inputs: roster.RosterInputs, run_date: dt.date, latest: str, backup: str,
-               **options) -> DataFrame:
+               publish: bool = False, **options) -> DataFrame:
     """Enriched roster; returns the keys that occur more than once."""
     configure(spark)
-    writers.write_latest(roster.build_roster_fact(inputs, **options), latest)
-    written = spark.read.parquet(latest)
+    written = replaced(roster.build_roster_fact(inputs, **options), latest, publish)
     writers.write_snapshot(written, backup, run_date)
     return written.transform(duplicate_keys(roster.KEY))
 
@@ -145,14 +162,13 @@ class ScheduleReport:
 
 def run_schedule(spark: SparkSession, inputs: ScheduleInputs, run_date: dt.date, latest: str, export: str,
                  variant: str = "main", snapshots: str | None = None, file_date: dt.date | None = None,
-                 excluded: Sequence[str] = (), null_cells: str = "off") -> ScheduleReport:
+                 excluded: Sequence[str] = (), null_cells: str = "off", publish: bool = False) -> ScheduleReport:
     """Schedule fact as Parquet and CSV, with a snapshot on request.
 
     The checks and the exports read the written fact, so the job computes it once.
     """
     configure(spark)
-    writers.write_latest(build_schedule_fact(inputs, run_date, variant, null_cells), latest)
-    fact = spark.read.parquet(latest)
+    fact = replaced(build_schedule_fact(inputs, run_date, variant, null_cells), latest, publish)
     writers.write_csv(fact.transform(export_edges), export)
     if snapshots is not None:
         writers.write_snapshot(fact.transform(snapshot_fact(run_date, file_date or run_date)), snapshots, run_date)

@@ -4,6 +4,7 @@ from shiftloom.queries import (  # noqa: F401  (importing registers)
     aggregates,
     attendance,
     basics,
+    corrections,
     intervals,
     overlays,
     reshape,
