@@ -8,6 +8,7 @@ from shiftloom.queries import (  # noqa: F401  (importing registers)
     intervals,
     overlays,
     reshape,
+    ruletables,
     scalars,
     schedule,
     sources,
