@@ -27,15 +27,15 @@ from shiftloom.sources import published, readers, schemas, writers
 class Feed:
     """Where a feed lies and how it is written. A bare path, or a list of paths, is CSV.
 
-    ``header``: lines above the header of a CSV. ``multi_line=False``: no record spans
-    lines, so that files can be split. ``format``: csv, parquet, or published for a table
+    ``header``: lines above the header of a CSV. ``multi_line``: whether records may span
+    lines, so that files cannot be split; left out, the readers find out. ``format``: csv, parquet, or published for a table
     of :mod:`shiftloom.sources.published`, which a job may read and replace in one run.
     """
 
     path: str | Sequence[str]
     format: str = "csv"
     header: int = 0
-    multi_line: bool = True
+    multi_line: bool | None = None
 
 
 Path = str | Sequence[str] | Feed

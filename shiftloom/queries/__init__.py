@@ -6,7 +6,9 @@ from shiftloom.queries import (  # noqa: F401  (importing registers)
     basics,
     corrections,
     intervals,
+    layouts,
     overlays,
+    quarantine,
     reshape,
     ruletables,
     scalars,

@@ -34,17 +34,38 @@ def _csv(spark: SparkSession, multi_line: bool, encoding: str = "UTF-8"):
     )
 
 
+def may_break_lines(spark: SparkSession, path: str | Sequence[str], encoding: str = "UTF-8") -> bool:
+    """Whether a quoted text of the files may hold a line break, so that they cannot be split.
+
+    The line in which such a text opens has an odd number of quotes, and a file in which
+    every line has an even number has none. Files that fit one task anyway, and
+    encodings in which a quote is more than one byte, are not looked at: they may.
+    """
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    size = int(str(lines._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    block = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    if size <= block or encoding.upper() not in ("UTF-8", "US-ASCII", "ASCII", "ISO-8859-1", "LATIN1"):
+        return True
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    return not lines.where(odd).isEmpty()
+
+
+def _lines_in(spark: SparkSession, path: str | Sequence[str], multi_line: bool | None, encoding: str = "UTF-8") -> bool:
+    return may_break_lines(spark, path, encoding) if multi_line is None else multi_line
+
+
 def _text(c: Column) -> Column:
     return F.when(c == EMPTY, F.lit("")).otherwise(c)
 
 
 def read_csv_texts(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None,
-                   encoding: str = "UTF-8", multi_line: bool = True, ingest_seq: bool = False) -> DataFrame:
+                   encoding: str = "UTF-8", multi_line: bool | None = None, ingest_seq: bool = False) -> DataFrame:
     """CSV with a header, by column name, all columns as text.
 
     Quotes inside quoted texts are doubled, line breaks may stand inside quotes, and an
-    empty text in quotes is not null. ``multi_line=False`` is for files known to have no
-    such breaks: only those can be split among tasks. A byte order mark before the first
+    empty text in quotes is not null. Files without such breaks can be split among tasks:
+    ``multi_line`` says whether there may be any; left out, the quotes of files that
+    are large enough to be split are counted (:func:`may_break_lines`). A byte order mark before the first
     header is dropped. Every path has its own order of columns; files of one folder must
     have the same header, else reading fails.
 
@@ -54,7 +75,7 @@ def read_csv_texts(spark: SparkSession, path: str | Sequence[str], columns: Sequ
     """
     frames = []
     for i, p in enumerate([path] if isinstance(path, str) else path):
-        raw = _csv(spark, multi_line, encoding).option("header", True).option("enforceSchema", False).csv(p)
+        raw = _csv(spark, _lines_in(spark, p, multi_line, encoding), encoding).option("header", True).option("enforceSchema", False).csv(p)
         names = {c.lstrip(BOM): c for c in raw.columns}
         wanted = list(names) if columns is None else columns
         missing = [c for c in wanted if c not in names]
@@ -86,7 +107,7 @@ def misfits(texts: DataFrame, columns: Mapping[str, str], formats: Sequence[str]
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Mapping[str, str] | None = None,
-             encoding: str = "UTF-8", multi_line: bool = True, ingest_seq: bool = False) -> DataFrame:
+             encoding: str = "UTF-8", multi_line: bool | None = None, ingest_seq: bool = False) -> DataFrame:
     """:func:`read_csv_texts` with types: ``{column: type}`` picks and types columns.
 
     Types come from the caller; values that do not fit become null, and
@@ -99,21 +120,23 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], columns: Mapping[st
 def read_headerless(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """CSV without a header; columns are named by position."""
     paths = path if isinstance(path, str) else list(path)
-    raw = _csv(spark, multi_line=True).option("header", False).schema(schema).csv(paths)
+    raw = _csv(spark, may_break_lines(spark, paths)).option("header", False).schema(schema).csv(paths)
     return raw.select(*[_text(q(f.name)).alias(f.name) if isinstance(f.dataType, T.StringType) else q(f.name) for f in schema])
 
 
 def read_below_preamble(spark: SparkSession, path: str | Sequence[str], header: int,
-                        columns: Sequence[str] | None = None, multi_line: bool = True) -> DataFrame:
+                        columns: Sequence[str] | None = None, multi_line: bool | None = None) -> DataFrame:
     """Sheet export whose header is line ``header`` (counted from 0), all columns as text.
 
     The lines above it are dropped in every file. They are found by the ids Spark gives
     to rows in reading order, less the least id of the same file. With ``multi_line``
     records may span lines (the lines up to the header may not) and a file is read by
     one task; without it files are split, and only the lines of a file's first block are
-    joined with the place where the file starts. The driver sees one line, the header.
+    joined with the place where the file starts; left out, quotes decide as for other
+    files. The driver sees one line, the header.
     """
     paths = path if isinstance(path, str) else list(path)
+    multi_line = _lines_in(spark, paths, multi_line)
     meta = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
     lines = spark.read.text(paths).select("value", *meta).withColumn("id", F.monotonically_increasing_id())
     first = _from_start(lines.where(F.col("block") == 0))
