@@ -13,6 +13,7 @@ from shiftloom.queries import (  # noqa: F401  (importing registers)
     ruletables,
     scalars,
     schedule,
+    sheets,
     sources,
     timelines,
 )
