@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftloom.llm.bloom import Bloom
-from shiftloom.llm.frames import prepare, written
+from shiftloom.llm.frames import prepare, shielded, written
 from shiftloom.llm.words import MASK, Spans, mix, normal, texts, word_blocks
 
 # Fixed masks: six compared words in windows of up to eleven.
@@ -224,6 +224,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+@shielded
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, in which no benchmark passage was found."""
     keyed, items = _inputs(docs, benchmark)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,29 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of ``docs``: whatever these are called.
+
+    The operators' own columns begin with two underscores. Columns of ``docs`` that do so
+    have other names while the operator works, and their own again in its result.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **options) -> DataFrame:
+        taken = {c.lower() for c in docs.columns}
+        there: dict[str, str] = {}
+        for c in docs.columns:
+            if c.startswith("__"):
+                n = 0
+                while f"kept{n}{c}".lower() in taken:
+                    n += 1
+                there[c] = f"kept{n}{c}"
+                taken.add(there[c].lower())
+        return operator(docs.withColumnsRenamed(there), *args, **options).withColumnsRenamed({v: k for k, v in there.items()})
+
+    return run
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """Connected components of ``links(u, v)``: one row (node, root) per linked node.
 

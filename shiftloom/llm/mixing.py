@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftloom.llm.frames import prepare, written
+from shiftloom.llm.frames import prepare, shielded, written
 
 # Target share of a value: proportional to its share in the data to this power.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
@@ -153,6 +153,7 @@ def report(docs: DataFrame) -> DataFrame:
         F.col("__p").alias("probability"), F.col("__drawn").alias("selected"))
 
 
+@shielded
 def mix(docs: DataFrame, topic: Column | None = None, powers: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
     """The rows of ``docs`` that were drawn, with all their columns."""
     return drawn(docs, topic, powers, seed).where("__drawn").select(*docs.columns)

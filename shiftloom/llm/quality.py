@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftloom.llm.frames import prepare, written
+from shiftloom.llm.frames import prepare, shielded, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -158,6 +158,7 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
+@shielded
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     return judged(docs, *docs.columns).where("__kept").select(*docs.columns)

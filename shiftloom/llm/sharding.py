@@ -8,10 +8,12 @@ many bytes come before it, and the shards are cut at equal targets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftloom.llm.frames import prepare, written
+from shiftloom.llm.frames import prepare, shielded, written
 
 SHARDS = 40
 ROW_BYTES = 16  # counted for a row besides its text
@@ -73,14 +75,25 @@ def cuts(docs: DataFrame, shards: int = SHARDS) -> list[tuple]:
     return [(r["shard"], tuple(r["first"])) for r in first.orderBy("shard").collect()][1:]
 
 
+STEP = 64  # cuts looked at together
+
+
+@shielded
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``docs`` with a column ``shard``: texts stay where they are and are compared with the cuts.
 
-    A column of that name is replaced. Rows that are alike stay in one shard.
+    The cuts are one sorted array, searched in two steps, whatever their number. A column
+    of that name is replaced. Rows that are alike stay in one shard.
     """
+    found = cuts(docs, shards)
+    fields = ", ".join(f"`{c}`: {t}" for c, t in zip(ORDER, ("bigint", "boolean", "bigint", "bigint", "bigint")))
+    told = json.dumps([{"at": at, "key": dict(zip(ORDER, first))} for at, first in found])
+    whole = F.from_json(F.lit(told), f"array<struct<at: int, key: struct<{fields}>>>")
+    heads = F.from_json(F.lit(json.dumps([{"at": at, "key": dict(zip(ORDER, first))} for at, first in found[::STEP]])),
+                        f"array<struct<at: int, key: struct<{fields}>>>")
     key = F.struct(*[F.col(c) for c in ORDER])
-    number: Column = F.lit(0)
-    for at, first in cuts(docs, shards):
-        literal = F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(ORDER, first, ("long", "boolean", "long", "long", "long"))])
-        number = F.when(key >= literal, F.lit(at)).otherwise(number)
+    block = F.size(F.filter(heads, lambda c: c["key"] <= key))
+    near = F.slice(whole, F.greatest(block - 1, F.lit(0)) * STEP + 1, F.lit(STEP))
+    last = F.get(F.filter(near, lambda c: c["key"] <= key), F.size(F.filter(near, lambda c: c["key"] <= key)) - 1)
+    number = F.when(block > 0, last["at"]).otherwise(F.lit(0))
     return _order(docs).withColumn("shard", number.cast("int")).drop(*ORDER)

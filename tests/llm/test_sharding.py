@@ -47,6 +47,13 @@ def test_shard_column_agrees_with_the_manifest(spark):
     assert {r["doc_id"]: r["shard"] for r in got.collect() if r["doc_id"] != 905} == by_id
 
 
+def test_many_shards(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    by_id = {r["doc_id"]: r["shard"] for r in sharding.manifest(df, 3000).collect()}
+    got = {r["doc_id"]: r["shard"] for r in sharding.shard(df, 3000).collect()}
+    assert got == by_id and len(set(got.values())) == 3000
+
+
 def test_no_rows(spark):
     assert sharding.manifest(frame(spark, [])).collect() == []
     assert sharding.shard(frame(spark, [])).collect() == []
