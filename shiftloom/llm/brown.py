@@ -21,11 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftloom.llm.frames import prepare, written
+from shiftloom.llm.frames import discard, prepare, written
 from shiftloom.llm.words import texts
 
 CLASSES = 32
-ROUNDS = 2
+ROUNDS = 12  # exchange passes at most
+SETTLED = 0.02  # of a nat: a pass after which a training token is likelier by less is the last
+FINE = 2  # buckets are 2**FINE times as many as partitions: a bucket's words must fit one task with room to spare
 ALPHA = 0.1  # added to the count of every class that may follow a class
 BLOCK_BYTES = 1 << 23
 END_WORD = xxhash.xxh64_intdigest(b"\n")  # no word holds a line break
@@ -42,13 +44,16 @@ def unpack(data: bytes, kind: str) -> np.ndarray:
 
 
 def pack_ids(ids: np.ndarray) -> bytes:
-    """Three bytes a number, low and high ones apart (fewer than 2**24 words in a block)."""
-    return pack(ids & 0xFFFF, "<u2") + pack(ids >> 16, "u1")
+    """Three bytes a number, low and high ones apart; a fourth where a block has 2**24 words or more."""
+    high = ids.max(initial=0) >> 24
+    return pack(ids & 0xFFFF, "<u2") + pack(ids >> 16 & 0xFF, "u1") + (pack(ids >> 24, "u1") if high else b"")
 
 
-def unpack_ids(data: bytes) -> np.ndarray:
-    n = len(data) // 3
-    return unpack(data[:2 * n], "<u2").astype(np.int64) | unpack(data[2 * n:], "u1").astype(np.int64) << 16
+def unpack_ids(data: bytes, n: int) -> np.ndarray:
+    out = unpack(data[:2 * n], "<u2").astype(np.int64)
+    for place in range(2, len(data) // n if n else 0):
+        out |= unpack(data[place * n:(place + 1) * n], "u1").astype(np.int64) << (8 * place)
+    return out
 
 
 class Contexts:
@@ -100,8 +105,8 @@ def block_contexts(tokens, lengths, train, classes, bounds, k: int) -> tuple[np.
     keys, counts = np.unique(np.concatenate((word * width + before, word * width + k + 1 + after)), return_counts=True)
     cuts = np.searchsorted(keys, bounds * width)
     parts = [
-        {"bucket": b} | Contexts.packed(keys[i:j] - bounds[b] * width, counts[i:j], width, int(bounds[b + 1] - bounds[b]))
-        for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if bounds[b + 1] > bounds[b]
+        {"bucket": b} | Contexts.packed(keys[cuts[b]:cuts[b + 1]] - bounds[b] * width, counts[cuts[b]:cuts[b + 1]], width, int(bounds[b + 1] - bounds[b]))
+        for b in np.flatnonzero(np.diff(bounds)).tolist()
     ]
     return matrix, parts
 
@@ -267,6 +272,14 @@ def summed(df: DataFrame, column: str, size: int) -> np.ndarray:
     return out
 
 
+def likelihood(matrix: np.ndarray) -> float:
+    """What the classes add to the log likelihood of the training tokens: their mutual information, in nats."""
+    n = matrix.astype(float)
+    rows, columns = n.sum(1, keepdims=True), n.sum(0, keepdims=True)
+    some = n > 0
+    return float((n[some] * np.log((n * n.sum())[some] / (rows * columns)[some])).sum())
+
+
 # -- the model --------------------------------------------------------------------------
 
 def transitions(matrix: np.ndarray, rare: np.ndarray, k: int, alpha: float) -> np.ndarray:
@@ -287,18 +300,22 @@ def transitions(matrix: np.ndarray, rare: np.ndarray, k: int, alpha: float) -> n
     return np.column_stack((known, np.log10(unknown)))
 
 
-def score(docs: DataFrame, held_out, classes: int = CLASSES, rounds: int = ROUNDS, alpha: float = ALPHA, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def score(docs: DataFrame, held_out, classes: int = CLASSES, rounds: int = ROUNDS, alpha: float = ALPHA,
+          block_bytes: int = BLOCK_BYTES, settled: float = SETTLED) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out`` is a boolean column; texts where it is true (null: false) are scored and
     not learned from. A null text is empty and has one token, its end. Perplexity is
     10 ** (-score / n_tokens). Without training texts every token is unknown. Repeated
     rows are learned from as often as they come. An empty table gives an empty one.
+
+    Words are exchanged until a pass makes a training token likelier by less than
+    ``settled`` nats, ``rounds`` passes at most. What a pass has written goes once the next is written.
     """
     spark = prepare(docs.sparkSession)
     k, width = classes, 2 * (classes + 1)
     given = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    bits = max(4, math.ceil(math.log2(max(1, given.rdd.getNumPartitions()))))
+    bits = max(4, math.ceil(math.log2(max(1, given.rdd.getNumPartitions()))) + FINE)
     blocks = written(encoded(given, bits, k, block_bytes), "blocks")
     matrix = summed(blocks, "matrix", (k + 1) ** 2).reshape(k + 1, k + 1)
 
@@ -307,9 +324,17 @@ def score(docs: DataFrame, held_out, classes: int = CLASSES, rounds: int = ROUND
 
     parts = blocks.select("block", F.explode("parts").alias("p")).select("block", "p.*")
     answer = state = written(parts.groupBy("bucket").applyInArrow(first, ANSWER), "classes")
+    likely = likelihood(matrix)
     for _ in range(rounds - 1):
         counted = written(_contexts(blocks, answer, k), "contexts")
-        answer = written(_exchanged(counted, state, answer, summed(counted, "matrix", (k + 1) ** 2).reshape(k + 1, k + 1), k), "classes")
+        matrix = summed(counted, "matrix", (k + 1) ** 2).reshape(k + 1, k + 1)
+        before, likely = likely, likelihood(matrix)
+        if likely - before < settled * matrix.sum():
+            break
+        older, answer = answer, written(_exchanged(counted, state, answer, matrix, k), "classes")
+        discard(counted)
+        if older is not state:
+            discard(older)
 
     stats = written(_statistics(blocks, answer, state, k), "statistics")
     matrix = summed(stats, "matrix", (k + 1) ** 2).reshape(k + 1, k + 1)
@@ -328,7 +353,7 @@ def _contexts(blocks: DataFrame, answer: DataFrame, k: int) -> DataFrame:
         for r in left.to_pylist():
             bounds = unpack(r["bounds"], "<i4").astype(np.int64)
             matrix, parts = block_contexts(
-                unpack_ids(r["tokens"]), unpack(r["lengths"], "<i8"), ~np.array(r["held_out"], bool),
+                unpack_ids(r["tokens"], int(unpack(r["lengths"], "<i8").sum())), unpack(r["lengths"], "<i8"), ~np.array(r["held_out"], bool),
                 by_bucket(right, "classes", "<u2", bounds), bounds, k)
             out.append({"block": r["block"], "matrix": matrix.tolist(), "parts": parts})
         return pa.Table.from_pylist(out, shape)
@@ -371,7 +396,8 @@ def _statistics(blocks: DataFrame, answer: DataFrame, state: DataFrame, k: int)
 
     def of(r: dict, right: pa.Table) -> dict:
         bounds = unpack(r["bounds"], "<i4").astype(np.int64)
-        tokens, lengths, train = unpack_ids(r["tokens"]), unpack(r["lengths"], "<i8"), ~np.array(r["held_out"], bool)
+        lengths, train = unpack(r["lengths"], "<i8"), ~np.array(r["held_out"], bool)
+        tokens = unpack_ids(r["tokens"], int(lengths.sum()))
         counts = by_bucket(right, "counts", "<i8", bounds)
         classes = by_bucket(right, "classes", "<u2", bounds)
         classes[counts == 0] = k + 1

@@ -33,7 +33,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table of :func:`written` that nothing reads any more: whatever came of it has been written itself."""
+    jvm = table.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table.written_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:

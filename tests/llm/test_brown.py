@@ -90,4 +90,16 @@ def test_packed_contexts_come_back():
     word, context, count = brown.Contexts.unpacked(brown.Contexts.packed(keys, counts, 66, 5), 66)
     assert (word * 66 + context).tolist() == keys.tolist() and count.tolist() == counts.tolist()
     ids = np.array([0, 65535, 65536, (1 << 24) - 1])
-    assert brown.unpack_ids(brown.pack_ids(ids)).tolist() == ids.tolist()
+    assert brown.unpack_ids(brown.pack_ids(ids), 4).tolist() == ids.tolist()
+    for far in ([], [5, 1 << 24, (1 << 24) + 5, (1 << 31) - 1]):
+        ids = np.array(far, np.int64)
+        assert brown.unpack_ids(brown.pack_ids(ids), len(far)).tolist() == far
+
+
+def test_more_passes_are_better_until_they_settle(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    total = [brown.score(rows, F.expr(HELD_OUT), rounds=n).where("held_out").agg(F.sum("score")).first()[0] for n in (1, 12)]
+    assert total[1] > total[0]
+    # a tolerance that no pass reaches ends after the first
+    once = brown.score(rows, F.expr(HELD_OUT), settled=1e9).where("held_out").agg(F.sum("score")).first()[0]
+    assert abs(once - total[0]) < 1e-6
