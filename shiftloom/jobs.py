@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftloom.operators.checks import distinct_values, duplicate_keys, exit_check
+from shiftloom.operators.checks import Watch, distinct_values, duplicate_keys, exit_check, gone_but_working
 from shiftloom.operators.projection import q
 from shiftloom.plans import feeds, roster
 from shiftloom.plans.schedule_fact import ScheduleInputs, build_schedule_fact, export_edges
@@ -84,13 +84,14 @@ def files_of(pattern: str, days: Sequence[dt.date]) -> list[str]:
     return list(dict.fromkeys(day.strftime(pattern) for day in days))
 
 
-def replaced(df: DataFrame, path: str, publish: bool) -> DataFrame:
-    """Makes ``df`` the latest state at ``path`` and returns it as written.
+def replaced(df: DataFrame, path: str, publish: bool, watch: Watch | None = None) -> DataFrame:
+    """Makes ``df`` the latest state at ``path`` and returns it as written. ``watch`` looks on as it is written.
 
     With ``publish`` the switch is one rename: readers and a run that dies never see
     half of it, and ``df`` may come from the table itself. Without it the folder is
     plain Parquet, emptied before it is written.
     """
+    df = df if watch is None else watch.over(df)
     if publish:
         published.publish(df, path)
         return published.read_published(df.sparkSession, path)
@@ -152,12 +153,18 @@ def run_roster(spark: SparkSession, inputs: roster.RosterInputs, run_date: dt.da
 
 @dataclass(frozen=True)
 class ScheduleReport:
-    """The written fact and its quality checks, each a frame of offending rows."""
+    """The written fact and its quality checks, each a frame of offending rows.
+
+    ``watch`` has what was counted while the fact was written. Where that settles a check,
+    its frame holds the answer and reads nothing: ``working_after_exit`` without such rows,
+    and ``codes`` unless there are very many. ``duplicates`` reads the two key columns.
+    """
 
     fact: DataFrame
     duplicates: DataFrame
     codes: DataFrame
     working_after_exit: DataFrame
+    watch: Watch
 
 
 def run_schedule(spark: SparkSession, inputs: ScheduleInputs, run_date: dt.date, latest: str, export: str,
@@ -165,14 +172,20 @@ def run_schedule(spark: SparkSession, inputs: ScheduleInputs, run_date: dt.date,
                  excluded: Sequence[str] = (), null_cells: str = "off", publish: bool = False) -> ScheduleReport:
     """Schedule fact as Parquet and CSV, with a snapshot on request.
 
-    The checks and the exports read the written fact, so the job computes it once.
+    The exports read the written fact, so the job computes it once; the checks are
+    settled by what was counted while it was written, as far as that goes.
     """
     configure(spark)
-    fact = replaced(build_schedule_fact(inputs, run_date, variant, null_cells), latest, publish)
+    watch = Watch(["EID", "date"], {"gone": gone_but_working(excluded)}, ["value"])
+    fact = replaced(build_schedule_fact(inputs, run_date, variant, null_cells), latest, publish, watch)
     writers.write_csv(fact.transform(export_edges), export)
     if snapshots is not None:
         writers.write_snapshot(fact.transform(snapshot_fact(run_date, file_date or run_date)), snapshots, run_date)
+    codes = watch.values("value")
     return ScheduleReport(
-        fact, fact.transform(duplicate_keys(["EID", "date"])), fact.transform(distinct_values("value")),
-        fact.transform(exit_check(excluded)),
+        fact, fact.transform(duplicate_keys(["EID", "date"])),
+        fact.transform(distinct_values("value")) if codes is None
+        else spark.createDataFrame([(v,) for v in codes], fact.select("value").schema),
+        fact.transform(exit_check(excluded)) if watch.count("gone") else spark.createDataFrame([], fact.select("EID").schema),
+        watch,
     )

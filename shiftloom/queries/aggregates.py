@@ -9,6 +9,7 @@ from shiftloom.functions import dates
 from shiftloom.operators import aggregates, checks, joins
 from shiftloom.plans.roster import adjusted_hours as adjust
 from shiftloom.queries.registry import USER_DAYS_SQL, Tables, query, user_days
+from shiftloom.session import scratch_path
 
 # -- joins ------------------------------------------------------------------------
 
@@ -224,3 +225,22 @@ def exit_check(t: Tables) -> DataFrame:
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("Work")).alias("rta_status"),
     )
     return fact.transform(checks.exit_check(["Customer#000000010", "Customer#000000100"]))
+
+
+@query(
+    "write_report",
+    f"""
+    WITH {USER_DAYS_SQL}
+    SELECT 'rows' AS metric, CAST(NULL AS VARCHAR) AS item, count(*) AS n FROM user_days
+    UNION ALL SELECT 'keyless', NULL, count(*) FILTER (WHERE user_id IS NULL OR day IS NULL) FROM user_days
+    UNION ALL SELECT 'long days', NULL, count(*) FILTER (WHERE hours > 100) FROM user_days
+    UNION ALL SELECT 'kind', kind, count(*) FROM user_days GROUP BY kind
+    """,
+)
+def write_report(t: Tables) -> DataFrame:
+    """Checks taken while the days are written; nothing reads them again."""
+    watch = checks.Watch(["user_id", "day"], {"long days": F.col("hours") > 100}, ["kind"])
+    watch.over(user_days(t)).write.parquet(scratch_path(t.spark, "watched"))
+    counts = [("rows", None, watch.rows), ("keyless", None, watch.keyless), ("long days", None, watch.count("long days"))]
+    kinds = [("kind", kind, n) for kind, n in watch.values("kind").items()]
+    return t.spark.createDataFrame(counts + kinds, "metric string, item string, n long")
