@@ -385,30 +385,37 @@ def roster_tables(t: Tables) -> dict[str, DataFrame]:
 _FLOW_OF_KIND = "CASE {k} WHEN 'click' THEN 'IDRA' WHEN 'view' THEN 'Object' ELSE {k} END"
 
 
-@query(
-    "roster_fact",
-    f"""
-    WITH {_MAP_SQL}, {_ADJ_SQL}, {_SHEETS_SQL},
-    extract AS (SELECT event_id AS ingest_seq, user_id, CAST(ts AS DATE) AS day, event_type,
-      CASE {_FLOW_OF_KIND.format(k='event_type')} {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in R.WORKFLOW_FAMILIES.items())}
-        ELSE event_type END AS current_workflow,
+_FAMILY = "CASE " + _FLOW_OF_KIND.format(k="event_type") + " " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in R.WORKFLOW_FAMILIES.items()) + " ELSE event_type END"
+_SHRINKAGE_SQL = ("sheets AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, CASE WHEN event_id % 3 > 0 THEN 'Work, ' || event_id % 2 END AS fallback "
+                  "FROM events WHERE event_type = 'signup')")
+
+
+def _roster_sql(sheets: str, map_key: str, flow: str = _FAMILY, further: str = "") -> str:
+    """``further``: columns of the extract that are passed on."""
+    return f"""{_MAP_SQL}, {_ADJ_SQL}, {sheets},
+    extract AS (SELECT event_id AS ingest_seq, user_id, CAST(ts AS DATE) AS day, event_type, {flow} AS current_workflow{further},
       nullif(event_id % 3, 0) AS hc, event_id % 2 AS srtf_date, CASE WHEN event_id % 5 > 0 THEN value END AS hours,
       {_ATTENDANCE.format(kind='event_type')} AS att, CASE WHEN event_id % 4 > 0 THEN value / 100 END AS actual FROM events),
     totals AS (SELECT user_id, day, coalesce(sum(hours), 0) AS adj FROM extract WHERE hc IS DISTINCT FROM 1 GROUP BY 1, 2),
     firsts AS (SELECT * FROM extract QUALIFY row_number() OVER (PARTITION BY user_id, day, srtf_date ORDER BY ingest_seq) = 1),
-    resolved AS (SELECT ingest_seq, user_id, day, current_workflow, srtf_date, actual,
-      round(coalesce(nullif(coalesce(adj, hours), 0), 7.5), 2) AS hours, replace(att, ',', ' -') AS att,
-      replace(coalesce(adjusted, fallback, att), ',', ' -') AS status_final
-      FROM firsts LEFT JOIN totals USING (user_id, day) LEFT JOIN adj USING (user_id, day) LEFT JOIN sheets USING (user_id, day))
-    SELECT ingest_seq, user_id AS enterprise_id, day AS roster_date, current_workflow, srtf_date, hours AS srtf_total_hrs,
-      att AS iw_attendance_status, resolved.status_final AS "status_final_AL", status AS rta_status, status_code AS rta_status_code,
+    resolved AS (SELECT firsts.* EXCLUDE (hours, att), round(coalesce(nullif(coalesce(adj, hours), 0), 7.5), 2) AS hours, replace(att, ',', ' -') AS att,
+      replace(coalesce(adjusted, fallback, att), ',', ' -') AS final
+      FROM firsts LEFT JOIN totals USING (user_id, day) LEFT JOIN adj USING (user_id, day) LEFT JOIN sheets USING (user_id, day)),
+    enriched AS (SELECT resolved.*, user_id AS enterprise_id, day AS roster_date, hours AS srtf_total_hrs,
+      att AS iw_attendance_status, final AS "status_final_AL", status AS rta_status, status_code AS rta_status_code,
       CASE WHEN actual > 0.33 THEN 'worked' ELSE wh_code END AS "WH"
-    FROM resolved LEFT JOIN status_map ON resolved.status_final = status_map.status_final
-    """,
-)
-def roster_fact(t: Tables) -> DataFrame:
+      FROM resolved LEFT JOIN status_map ON resolved.{map_key} = status_map.status_final)"""
+
+
+_ROSTER_SHOWN = ["ingest_seq", "enterprise_id", "roster_date", "current_workflow", "srtf_date", "srtf_total_hrs",
+                 "iw_attendance_status", "status_final_AL", "rta_status", "rta_status_code", "WH"]
+_ROSTER_SHOWN_SQL = ", ".join(f'"{c}"' for c in _ROSTER_SHOWN)
+
+
+def _extract(t: Tables) -> DataFrame:
     seq, kind = F.col("event_id"), F.col("event_type")
-    extract = t.events.select(
+    return t.events.select(
         seq.alias("ingest_seq"), F.col("user_id").alias("enterprise_id"), event_day().alias("roster_date"), kind,
         F.expr(_FLOW_OF_KIND.format(k="event_type")).alias("current_workflow"), F.nullif(seq % 3, F.lit(0)).alias("hc"),
         (seq % 2).alias("date"), F.when(seq % 5 > 0, F.col("value")).alias("srtf_total_hrs"), F.lit(7.5).alias("ts_total_hours"),
@@ -416,11 +423,85 @@ def roster_fact(t: Tables) -> DataFrame:
         F.expr(_ATTENDANCE.format(kind="event_type")).alias("iw_attendance_status"),
         F.when(seq % 4 > 0, F.col("value") / 100).alias("iw_actual_time"),
     )
-    past = kind.isin("click", "view")
-    inputs = roster.RosterInputs([extract.where(past), extract.where(~past)], adjustments(t), sheets(t), status_map(t))
+
+
+def _shrinkage(t: Tables) -> DataFrame:
+    """The shrinkage report, its days as serials; a person may stand in it several times a day."""
+    seq = F.col("event_id")
+    rows = t.events.where(F.col("event_type") == "signup").select(
+        F.col("user_id").alias("Username"), F.datediff(event_day(), F.lit(dt.date(1899, 12, 30))).alias("Day"),
+        F.when(seq % 3 > 0, F.concat(F.lit("Work, "), (seq % 2).cast("string"))).alias("Status final"),
+    )
+    return roster.shrinkage_feed(rows.distinct())
+
+
+def _roster_shown(fact: DataFrame, *further: str) -> DataFrame:
     worked = F.when(F.col("WH") == F.col("iw_actual_time").cast("string"), F.lit("worked")).otherwise(F.col("WH"))
-    return roster.build_roster_fact(inputs).select(
-        "ingest_seq", "enterprise_id", "roster_date", "current_workflow", "srtf_date",
-        F.round("srtf_total_hrs", 2).alias("srtf_total_hrs"), "iw_attendance_status", "status_final_AL", "rta_status",
-        "rta_status_code", worked.alias("WH"),
+    return fact.withColumns({"srtf_total_hrs": F.round("srtf_total_hrs", 2), "WH": worked}).select(*_ROSTER_SHOWN, *further)
+
+
+@query("roster_fact", f"WITH {_roster_sql(_SHEETS_SQL, 'final')} SELECT {_ROSTER_SHOWN_SQL} FROM enriched")
+def roster_fact(t: Tables) -> DataFrame:
+    past = F.col("event_type").isin("click", "view")
+    extract = _extract(t)
+    inputs = roster.RosterInputs([extract.where(past), extract.where(~past)], adjustments(t), sheets(t), status_map(t))
+    return _roster_shown(roster.build_roster_fact(inputs))
+
+
+@query("roster_fact_2022", f"WITH {_roster_sql(_SHRINKAGE_SQL, 'att')} SELECT {_ROSTER_SHOWN_SQL} FROM enriched")
+def roster_fact_2022(t: Tables) -> DataFrame:
+    """One extract, the shrinkage report as fallback, and the status mapped from the attendance feed."""
+    inputs = roster.RosterInputs([_extract(t)], adjustments(t), _shrinkage(t), status_map(t))
+    return _roster_shown(roster.build_roster_fact(inputs, map_key="iw_attendance_status"))
+
+
+@query("roster_fact_2024", f"WITH {_roster_sql(_SHEETS_SQL, 'final')} SELECT {_ROSTER_SHOWN_SQL} FROM enriched")
+def roster_fact_2024(t: Tables) -> DataFrame:
+    """One extract, update sheets as fallback."""
+    return _roster_shown(roster.build_roster_fact(roster.RosterInputs([_extract(t)], adjustments(t), sheets(t), status_map(t))))
+
+
+_TRAINEE_FLOW = "CASE c_nationkey % 4 WHEN 0 THEN 'Messenger' WHEN 1 THEN 'IDVAAS' WHEN 2 THEN 'GTM' ELSE c_mktsegment END"
+_TRAINEE_LOB_SQL = "CASE flow " + " ".join(f"WHEN '{f}' THEN '{lob}'" for f, lob in R.TRAINEE_FLOWS.items()) + " END"
+
+
+@query(
+    "roster_fact_wfh",
+    f"""
+    WITH {_roster_sql(_SHRINKAGE_SQL, 'final', f"CASE WHEN event_id % 7 > 1 THEN {_FAMILY} END", """,
+      CASE WHEN event_id % 2 = 0 THEN 'Trainee' ELSE 'Analyst' END AS role, CASE WHEN event_id % 5 > 2 THEN event_type END AS cluster,
+      CASE WHEN event_id % 3 > 0 THEN event_type END AS workflow""")},
+    trainees AS (SELECT c_custkey AS who, {_TRAINEE_FLOW} AS flow, c_mktsegment AS market FROM customer WHERE c_custkey % 3 > 0),
+    deployed AS (SELECT c_custkey AS who, DATE '2023-01-01' + CAST(c_custkey % 300 AS INTEGER) AS deployed_on,
+      CASE WHEN c_custkey % 2 = 0 THEN DATE '2023-02-01' + CAST(c_custkey % 300 AS INTEGER) END AS graduated_on, c_mktsegment AS dmr
+      FROM customer WHERE c_custkey % 4 > 0),
+    filled AS (SELECT enriched.* REPLACE (
+      CASE WHEN role = 'Trainee' AND current_workflow IS NULL THEN flow ELSE current_workflow END AS current_workflow,
+      CASE WHEN role = 'Trainee' AND cluster IS NULL THEN market ELSE cluster END AS cluster,
+      CASE WHEN role = 'Trainee' AND workflow IS NULL THEN {_TRAINEE_LOB_SQL} ELSE workflow END AS workflow)
+      FROM enriched LEFT JOIN trainees ON trainees.who = enterprise_id)
+    SELECT {_ROSTER_SHOWN_SQL}, role, cluster, workflow, deployed_on AS "OpsDeploymentDate", graduated_on AS "Graduation_Date", dmr AS "DMR Status"
+    FROM filled LEFT JOIN deployed ON deployed.who = enterprise_id
+    """,
+)
+def roster_fact_wfh(t: Tables) -> DataFrame:
+    """Trainees take what they lack from the trainee list; shrinkage report as fallback; dates of deployment."""
+    seq, kind = F.col("ingest_seq"), F.col("event_type")
+    extract = _extract(t).withColumns({
+        "current_workflow": F.when(seq % 7 > 1, F.col("current_workflow")), "role": F.when(seq % 2 == 0, F.lit("Trainee")).otherwise(F.lit("Analyst")),
+        "cluster": F.when(seq % 5 > 2, kind), "workflow": F.when(seq % 3 > 0, kind),
+    })
+    key = F.col("c_custkey")
+    trainees = t.customer.where(key % 3 > 0).select(
+        key.alias("EID"), F.expr(_TRAINEE_FLOW).alias("Training FLOW"), F.col("c_mktsegment").alias("Market"))
+
+    def some_day(first: dt.date) -> Column:
+        return F.date_add(F.lit(first), (key % 300).cast("int")).cast("string")
+
+    deployment = t.customer.select(
+        key.alias("EID"), F.when(key % 4 > 0, some_day(dt.date(2023, 1, 1))).otherwise(F.lit(R.NO_DEPLOYMENT)).alias("OpsDeploymentDate"),
+        F.when(key % 2 == 0, some_day(dt.date(2023, 2, 1))).otherwise(F.lit(R.NO_GRADUATION)).alias("Graduation Date"),
+        F.col("c_mktsegment").alias("DMR Status"),
     )
+    inputs = roster.RosterInputs([extract], adjustments(t), _shrinkage(t), status_map(t), deployment, trainees)
+    return _roster_shown(roster.build_roster_fact(inputs), "role", "cluster", "workflow", "OpsDeploymentDate", "Graduation_Date", "DMR Status")
