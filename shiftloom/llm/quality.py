@@ -2,8 +2,10 @@
 
 Every metric is sketched per (lang, source) in a KLL sketch; sketches of small groups
 are merged to the language's and then to that of all documents. A document fails a rule
-if its metric is far above the upper quartile of its group, measured by the distance
-between the quartiles. Everything is column expressions: no Python runs in tasks.
+if its metric is far above what nine tenths of its group stay below, measured by the
+distance from there to the median, or, where hardly any document shows the thing
+counted, by what a single occurrence makes in a text of the group's median size: no
+share is given as a number. Everything is column expressions: no Python runs in tasks.
 """
 
 from __future__ import annotations
@@ -24,9 +26,14 @@ REPEAT_PERCENT = 20
 
 SKETCH = 1024  # k of the sketches: ranks are right to about a third of a percent
 GROUP = 200  # rows from which a group has thresholds of its own
-SPREAD = 6.0  # distances between the quartiles above the upper one
-# Metrics, and what a value may exceed the quartile by where all values are alike.
-METRICS = {"symbol_share": 0.02, "upper_share": 0.10, "repeat_share": 0.15, "line_share": 0.35}
+MIDDLE, HIGH = 0.5, 0.9
+SPREAD = 6.0  # distances, or occurrences, above the upper quantile
+# (counted, out of, what one occurrence counts): a window that comes twice covers two times its words
+METRICS = {
+    "symbol_share": ("n_symbols", "word_chars", 1), "upper_share": ("n_upper", "word_chars", 1),
+    "repeat_share": ("n_repeat_words", "n_words", 2 * GRAM), "line_share": ("n_dup_lines", "n_lines", 1),
+}
+SIZES = sorted({whole for _, whole, _ in METRICS.values()})
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,10 +104,7 @@ def field(name: str) -> Column:
 
 
 def metric(name: str) -> Column:
-    part, whole = {
-        "symbol_share": ("n_symbols", "word_chars"), "upper_share": ("n_upper", "word_chars"),
-        "repeat_share": ("n_repeat_words", "n_words"), "line_share": ("n_dup_lines", "n_lines"),
-    }[name]
+    part, whole, _ = METRICS[name]
     return F.coalesce(F.try_divide(field(part).cast("double"), field(whole).cast("double")), F.lit(0.0))
 
 
@@ -111,20 +115,25 @@ def limits(scored: DataFrame, spread: float = SPREAD, group: int = GROUP) -> Dat
     fewer than that those of all rows. A null language or source is a value like others.
     """
     own = scored.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(metric(m), F.lit(SKETCH)).alias(m) for m in METRICS])
+        F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(metric(m), F.lit(SKETCH)).alias(m) for m in METRICS],
+        *[F.kll_sketch_agg_double(field(w).cast("double"), F.lit(SKETCH)).alias(w) for w in SIZES])
     own = written(own, "sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in METRICS]]
+    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(m, F.lit(SKETCH)).alias(m) for m in [*METRICS, *SIZES]]]
     langs = own.groupBy("lang").agg(*merged)
     every = own.agg(*merged)
 
+    def quantile(name: str, rank: float) -> Column:
+        chosen = F.when(F.col("o.n") >= group, F.col(f"o.{name}")).when(F.col("l.n") >= group, F.col(f"l.{name}")).otherwise(F.col(f"a.{name}"))
+        return F.kll_sketch_get_quantile_double(chosen, F.lit(rank))
+
     def upper(m: str) -> Column:
-        chosen = F.when(F.col("o.n") >= group, F.col(f"o.{m}")).when(F.col("l.n") >= group, F.col(f"l.{m}")).otherwise(F.col(f"a.{m}"))
-        low, high = (F.kll_sketch_get_quantile_double(chosen, F.lit(q)) for q in (0.25, 0.75))
-        return (high + spread * (high - low) + METRICS[m]).alias(m)
+        _, whole, one = METRICS[m]
+        high, typical = quantile(m, HIGH), F.greatest(quantile(whole, MIDDLE), F.lit(1.0))
+        return (high + spread * F.greatest(high - quantile(m, MIDDLE), one / typical)).alias(m)
 
     o, l = own.alias("o"), langs.alias("l")
     # the sketch of all rows is one row
-    both = o.join(l, F.col("o.lang").eqNullSafe(F.col("l.lang"))).join(F.broadcast(every.alias("a")), F.col("a.n") >= F.col("o.n"))
+    both = o.join(l, F.col("o.lang").eqNullSafe(F.col("l.lang"))).crossJoin(F.broadcast(every.alias("a")))
     return both.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), F.struct(*map(upper, METRICS)).alias(LIMITS))
 
 
@@ -133,7 +142,8 @@ def judged(docs: DataFrame, *keep: str, spread: float = SPREAD, group: int = GRO
 
     The features are those of :func:`features` under :data:`Q`. ``base_failed``: fewer
     than 10 words, or over 20 % of the words in repeated windows. ``kept``: not failed,
-    and no metric above its group's limit. No row is lost or repeated; an empty table
+    and no metric above its group's limit; :data:`SPREAD` occurrences are none too many
+    in any text. No row is lost or repeated; an empty table
     gives an empty one.
     """
     prepare(docs.sparkSession)
@@ -144,8 +154,8 @@ def judged(docs: DataFrame, *keep: str, spread: float = SPREAD, group: int = GRO
     joined = scored.join(found, scored["lang"].eqNullSafe(found["__lang"]) & scored["source"].eqNullSafe(found["__source"]), "left")
     failed = (field("n_words") < FEW_WORDS) | (100 * field("n_repeat_words") > REPEAT_PERCENT * field("n_words"))
     kept = ~failed
-    for m in METRICS:
-        kept = kept & (metric(m) <= F.col(f"{LIMITS}.{m}"))
+    for m, (part, _, one) in METRICS.items():
+        kept = kept & ((metric(m) <= F.col(f"{LIMITS}.{m}")) | (field(part) <= spread * one))
     return joined.select(*keep, Q, LIMITS, failed.alias("__failed"), kept.alias("__kept"))
 
 

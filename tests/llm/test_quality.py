@@ -55,3 +55,22 @@ def test_filter_keeps_columns_and_rows(spark):
 def test_no_python_in_tasks(spark):
     plan = quality.keep_good(frame(spark, corpus(2)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_limits_move_with_groups_in_which_most_have_none(spark):
+    rng = random.Random(9)
+    plain = [prose(rng, 80) + ".\n" + prose(rng, 40) + "." for _ in range(600)]
+    tables = ["\n".join(" | ".join(prose(rng, 1) for _ in range(6)) + f" | {i}" for i in range(20)) for _ in range(80)]
+    rows = [
+        *((i, t, "en", "plain", 1) for i, t in enumerate(plain[:300])), *((300 + i, t, "en", "tables", 1) for i, t in enumerate(plain[300:])),
+        *((1000 + i, t, "en", "tables", 1) for i, t in enumerate(tables[1:])), (2000, tables[0], "en", "plain", 1),
+        # a few symbols say nothing, in short texts and long ones
+        (2001, plain[0] + " $ & #", "en", "plain", 1), (2002, "one two three four five six seven eight nine ten % & $", "en", "plain", 1),
+    ]
+    got = {r["doc_id"]: r for r in quality.report(frame(spark, rows)).collect()}
+    assert {i for i, r in got.items() if not r["kept"]} == {2000}
+    # a fifth of the documents being tables, tables are what the source holds
+    assert got[1000]["limit_symbol_share"] > 10 * got[2000]["limit_symbol_share"] > 0
+    # longer texts, finer limits
+    longer = quality.report(frame(spark, [(r[0], (r[1] + "\n") + prose(rng, 600), *r[2:]) for r in rows[:300]])).first()
+    assert 0 < longer["limit_symbol_share"] < got[0]["limit_symbol_share"] / 3
