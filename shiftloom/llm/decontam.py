@@ -4,6 +4,12 @@ A mask covers some words of a short window and ignores the others, so a replaced
 or misspelt word hides a window from one mask but not from all. Hashes of the masked
 windows of the benchmark and of the documents are joined; around each hit the two texts
 are laid side by side and compared word by word.
+
+A phrase that many items share would join every document that holds it with all of
+them. Such windows are joined by the window and two more words near it. No passage is
+lost: one of 26 words or more has a half of 13 or more that is a passage as well, and
+whatever words may differ in one of 13 to 25, some mask and some two neighbours of its
+window stand on words that are the same (a test tries all cases).
 """
 
 from __future__ import annotations
@@ -28,6 +34,9 @@ MIN_WORDS = 13  # compared words that make a passage; a shorter item has to be t
 MIN_SHARE = 0.8  # of the compared words that are the same
 SHORT = 3  # items of fewer words are not looked for
 LONG = 12  # from so many words on, no substitutions that MIN_SHARE allows hide an item from all MASKS
+REACH = 2 * MIN_WORDS - 1  # words of the passages in which a window and its neighbours are found
+HOT = 16  # items that share a masked window, from which on it is joined with neighbours
+SLICE = 64  # items, about, that one task compares with a text at a time
 WEIGHT = 4  # compared words of the further masks for shorter items
 ROW = "__row"  # names a row of a materialised table
 
@@ -75,16 +84,38 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return Spans(words).hashes(np.arange(len(words)), 1)
 
 
-def seeds_of(words: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of every masked window."""
-    found = masked(words, masks)
-    return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
+def neighbours(mask: str) -> list[tuple[int, int]]:
+    """Pairs of places, counted from the window, that follow each other when those under the mask are left out."""
+    places = [i for i in range(len(mask) - REACH, REACH) if not (0 <= i < len(mask) and mask[i] == "1")]
+    return list(zip(places, places[1:]))
+
+
+def extended(words: np.ndarray, found: np.ndarray, at: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of the windows ``at``, whose hashes are ``found[at]``, with each pair of neighbours there is."""
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n, (a, b) in enumerate(neighbours(mask)):
+        p = at[(at + a >= 0) & (at + b < len(words))]
+        keys.append(mix(mix(found[p] + words[p + a] * FACTORS[14] + np.uint64(n + 1)) + words[p + b] * FACTORS[15]))
+        places.append(p)
+    return np.concatenate(keys), np.concatenate(places)
+
 
+def seeds_of(words: np.ndarray, masks: tuple[str, ...], hot: Bloom | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of every masked window, hot ones with their neighbours."""
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for mask, found in zip(masks, masked(words, masks)):
+        warm = hot.known(found) if hot else np.zeros(len(found), bool)
+        k, p = extended(words, found, np.flatnonzero(warm), mask)
+        keys += [found[~warm], k]
+        places += [np.flatnonzero(~warm), p]
+    return np.concatenate(keys), np.concatenate(places)
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...], min_share: float = MIN_SHARE) -> DataFrame:
+
+def item_seeds(items: DataFrame, masks: tuple[str, ...], min_share: float = MIN_SHARE, hot: Bloom | None = None) -> DataFrame:
     """(seed, item, place): masked windows of the benchmark; short items also as a whole.
 
-    ``place`` is -1 - n for a mask over a whole item of n words.
+    ``place`` is -1 - n for a mask over a whole item of n words. Windows that ``hot``
+    knows have their neighbours with them, but for items too short for that.
     """
     least = min(map(len, masks))
 
@@ -95,7 +126,7 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...], min_share: float = MIN_
                 words = word_hashes(normal(data).split())
                 if len(words) < SHORT:
                     continue
-                found = [seeds_of(words, masks)] if len(words) >= least else []
+                found = [seeds_of(words, masks, hot if len(words) >= MIN_WORDS else None)] if len(words) >= least else []
                 found += [(h, np.array([-1 - len(words)])) for h in masked(words, whole_masks(len(words), masks, min_share))]
                 for h, p in found:
                     seeds.append(h)
@@ -108,20 +139,33 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...], min_share: float = MIN_
     return items.mapInArrow(run, "seed long, item long, place long").distinct()
 
 
-def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...]) -> DataFrame:
-    """(row, seed, at) of the masked windows of documents that the filter lets pass."""
+def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...], whole: tuple[str, ...] = (), hot: Bloom | None = None) -> DataFrame:
+    """(row, seed, at) of the masked windows of documents that the filter lets pass.
+
+    Windows that ``hot`` knows come once more with their neighbours; those under the
+    masks ``whole`` do not.
+    """
+    overlap = max(*map(len, (*masks, *whole)), REACH if hot else 0) - 1
+
+    def of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for n, (mask, found) in enumerate(zip((*masks, *whole), masked(words, masks) + masked(words, whole))):
+            at = np.flatnonzero(known.known(found))
+            yield found[at], at
+            if hot and n < len(masks):
+                keys, places = extended(words, found, at[hot.known(found[at])], mask)
+                there = known.known(keys)
+                yield keys[there], places[there]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, seeds, places = [], [], []
             for row, data in zip(batch.column("row").to_pylist(), texts(batch)):
-                at, overlap = 0, max(map(len, masks)) - 1
+                at = 0
                 for words in word_blocks(normal(data), overlap):
-                    h, p = seeds_of(word_hashes(words), masks)
-                    found = known.known(h)
-                    seeds.append(h[found])
-                    places.append(p[found] + at)
-                    rows.append(np.full(len(places[-1]), row, np.int64))
+                    for keys, found in of(word_hashes(words)):
+                        seeds.append(keys)
+                        places.append(found + at)
+                        rows.append(np.full(len(keys), row, np.int64))
                     at += max(0, len(words) - overlap)
             if seeds:
                 yield pa.RecordBatch.from_pydict({
@@ -165,25 +209,40 @@ RESULT = T.StructType([T.StructField(c, T.LongType()) for c in ("row", "item", "
 
 def contaminated(
     docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MASKS, log_bits: int = LOG_BITS,
-    min_words: int = MIN_WORDS, min_share: float = MIN_SHARE,
+    min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, hot: int = HOT,
 ) -> DataFrame:
     """(row, item, first, item_first, n_words, n_same): a passage per document, item and shift.
 
     ``docs`` has row (long, unique) and text; ``items`` has item and text, and is grouped
     by its items. A passage has ``min_words`` compared words, or the whole item if that
-    is shorter. Null texts have no words. Repeated items count once.
+    is shorter. Null texts have no words. Repeated items count once. Windows shared by
+    more than ``hot`` items are joined with neighbours, where the other parameters are
+    those that this is known to hold for.
     """
     seeds = written(item_seeds(items, masks, min_share), "items")
-    known = Bloom.of(seeds.select("seed").distinct(), log_bits)
+    common = None
+    if (masks, min_words, min_share) == (MASKS, MIN_WORDS, MIN_SHARE):
+        shared = seeds.where("place >= 0").groupBy("seed").agg(F.count_distinct("item").alias("n")).where(F.col("n") > hot)
+        shared = written(shared.select("seed"), "shared")
+        if not shared.isEmpty():
+            common = Bloom.of(shared, log_bits)
+    plain = seeds.select("seed")
+    if common:
+        seeds = written(item_seeds(items, masks, min_share, common), "items")
+        plain = plain.union(seeds.select("seed"))
+    known = Bloom.of(plain.distinct(), log_bits)
     # lengths of the items that are looked for as a whole, too
     short = seeds.where("place < 0").select("place").distinct().collect()
     whole = tuple(m for n in sorted(-1 - r["place"] for r in short) for m in whole_masks(n, masks, min_share))
-    found = written(hits(docs, known, (*masks, *whole)), "hits").join(seeds, "seed")
+    found = written(hits(docs, known, masks, whole, common), "hits").join(seeds, "seed")
     # one row per document, item and shift, however many windows agree
     shifts = found.select("row", "item", F.when(F.col("place") < 0, F.col("at")).otherwise(F.col("at") - F.col("place")).alias("shift"))
     pairs = written(shifts.groupBy("row", "item").agg(F.collect_set("shift").alias("shifts")), "pairs")
     item = items.groupBy("item").agg(F.first("text").alias("item_text"))
-    by_row = pairs.join(item, "item").groupBy("row").agg(F.collect_list(F.struct("item", "item_text", "shifts")).alias("pairs"))
+    # a text meets its items in slices, so that no row holds very many of them
+    slices = pairs.groupBy("row").agg(F.ceil(F.count(F.lit(1)) / SLICE).alias("slices"))
+    sliced = pairs.join(slices, "row").withColumn("slice", F.pmod(F.xxhash64("item"), F.col("slices")))
+    by_row = sliced.join(item, "item").groupBy("row", "slice").agg(F.collect_list(F.struct("item", "item_text", "shifts")).alias("pairs"))
     both = docs.join(written(by_row, "suspects"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -106,3 +106,74 @@ def test_items_with_substitutions_at_all_places(spark):
                     want.add((rows[-1][0], n))
     got = decontam.report(frame(spark, rows), frame(spark, items, ITEMS)).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
+def test_no_substitutions_hide_a_passage_from_windows_with_neighbours():
+    from itertools import combinations
+
+    for n in range(decontam.MIN_WORDS, decontam.REACH + 1):
+        differ = np.array([sum(1 << i for i in c) for c in combinations(range(n), int(n * (1 - decontam.MIN_SHARE) + 1e-9))])
+        for mask in decontam.MASKS:
+            under = [i for i, used in enumerate(mask) if used == "1"]
+            for at in range(n - len(mask) + 1):
+                for a, b in decontam.neighbours(mask):
+                    if at + a >= 0 and at + b < n:
+                        key = sum(1 << at + i for i in (*under, a, b))
+                        differ = differ[differ & key != 0]
+        assert not len(differ), n
+
+
+def brute(rows, items):
+    """(row, item) with a passage, every text against every item at every shift."""
+    found = set()
+    for row, text in rows:
+        t = decontam.word_hashes(decontam.normal(text.encode()).split())
+        for item, x in items:
+            i = decontam.word_hashes(decontam.normal(x.encode()).split())
+            if len(i) >= decontam.SHORT and decontam.passages(t, i, list(range(-len(i), len(t) + 1)), decontam.MIN_WORDS, decontam.MIN_SHARE):
+                found.add((row, item))
+    return found
+
+
+def test_shared_phrases_lose_no_passage(spark):
+    rng = random.Random(31)
+    phrase = "which of the following best describes the idea".split()
+    items, docs = [], []
+    for i in range(40):
+        words = [*(f"w{rng.randrange(60)}" for _ in range(rng.randrange(3, 15))), *phrase, *(f"w{rng.randrange(60)}" for _ in range(rng.randrange(0, 25)))]
+        items.append((i, " ".join(words)))
+        for _ in range(3):
+            start = rng.randrange(0, max(1, len(words) - 12))
+            piece = list(words[start:start + rng.randrange(12, 30)])
+            for p in rng.sample(range(len(piece)), min(len(piece), rng.randrange(0, 6))):
+                piece[p] = rng.choice(["other", "w1", "w2"])
+            docs.append((len(docs), " ".join([*(f"w{rng.randrange(60)}" for _ in range(rng.randrange(20))), *piece, "x", "y", *phrase, "z"])))
+    df, it = spark.createDataFrame(docs, "row long, text string"), spark.createDataFrame(items, "item long, text string")
+    want = brute(docs, items)
+    assert len(want) > 40
+    for hot in (0, 5, 1000):
+        assert {(r["row"], r["item"]) for r in decontam.contaminated(df, it, hot=hot).collect()} == want, hot
+
+
+def test_a_phrase_in_all_items_makes_no_product(spark, monkeypatch):
+    n, phrase, seen = 300, "which of the following best describes", {}
+    items = [(i, " ".join([*(f"a{i}x{k}" for k in range(12)), phrase, *(f"b{i}x{k}" for k in range(12))])) for i in range(n)]
+    rows = [(i, " ".join([*(f"c{i}x{k}" for k in range(30)), phrase, *(f"d{i}x{k}" for k in range(30))]), "en", "a", 1) for i in range(n)]
+    rows += [(n, f"so {items[3][1]} it", "en", "a", 1), (n + 1, " ".join(items[7][1].split()[9:22]), "en", "a", 1)]
+    keep = decontam.written
+
+    def counted(df, label):
+        out = keep(df, label)
+        seen[label] = out.count()
+        return out
+
+    monkeypatch.setattr(decontam, "written", counted)
+    got = decontam.report(frame(spark, rows), frame(spark, items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(n, 3), (n + 1, 7)}
+    assert seen["pairs"] < n  # of n * n
+
+
+def test_a_text_with_very_many_items(spark):
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(15))) for i in range(300)]
+    rows = [(1, " ".join(t for _, t in items), "en", "a", 1), (2, "nothing of it", "en", "a", 1)]
+    assert sorted(r["item_id"] for r in decontam.report(frame(spark, rows), frame(spark, items, ITEMS)).collect()) == list(range(300))
