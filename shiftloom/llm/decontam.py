@@ -148,13 +148,19 @@ def hits(docs: DataFrame, known: Bloom, masks: tuple[str, ...], whole: tuple[str
     overlap = max(*map(len, (*masks, *whole)), REACH if hot else 0) - 1
 
     def of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for n, (mask, found) in enumerate(zip((*masks, *whole), masked(words, masks) + masked(words, whole))):
-            at = np.flatnonzero(known.known(found))
-            yield found[at], at
-            if hot and n < len(masks):
-                keys, places = extended(words, found, at[hot.known(found[at])], mask)
-                there = known.known(keys)
-                yield keys[there], places[there]
+        found = masked(words, (*masks, *whole))
+        every = np.concatenate(found)
+        kept = np.flatnonzero(known.known(every))
+        firsts = np.cumsum([0, *map(len, found)])  # of each mask's windows
+        yield every[kept], kept - firsts[np.searchsorted(firsts, kept, side="right") - 1]
+        if hot and len(kept):
+            shared = kept[hot.known(every[kept])]
+            for mask, windows, a, b in zip(masks, found, firsts, firsts[1:]):
+                at = shared[(shared >= a) & (shared < b)] - a
+                if len(at):
+                    keys, places = extended(words, windows, at, mask)
+                    there = known.known(keys)
+                    yield keys[there], places[there]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
