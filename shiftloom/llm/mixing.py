@@ -19,9 +19,9 @@ POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 DIMS = list(POWERS)
 CELL = {"source": "__source", "lang": "__lang", "topic": "__topic"}
 KEYS = list(CELL.values())
-TOLERANCE = 1e-2  # a round that moves no weight by more is the last
+TOLERANCE = 5e-3  # a round that moves no weight by more is the last
 ROUNDS = 25
-SLACK = 0.9  # of what the scarcest value allows; near 1 raking only creeps up to the caps
+SLACK = 0.95  # of what the scarcest value allows; near 1 raking only creeps up to the caps
 KEEP = 2 / 3  # of all tokens are taken at least, however little the scarcest value allows
 SEED = 7
 
@@ -37,7 +37,7 @@ def topic_of(text: Column) -> Column:
 
 def _keyed(docs: DataFrame, topic: Column | None) -> DataFrame:
     topic = topic_of(F.coalesce("text", F.lit(""))) if topic is None else topic
-    return docs.withColumns({"__source": F.col("source"), "__lang": F.col("lang"), "__topic": topic})
+    return docs.withColumns({"__source": F.col("source"), "__lang": F.col("lang"), "__topic": topic, "__tokens": tokens_of(F.col("text"))})
 
 
 def tokens_of(text: Column) -> Column:
@@ -108,7 +108,7 @@ def rake(cells: DataFrame, aims: dict[str, DataFrame], tolerance: float = TOLERA
 
 
 def _raked(keyed: DataFrame, powers: dict[str, float]) -> tuple[DataFrame, dict[str, DataFrame]]:
-    cells = keyed.groupBy(*KEYS).agg(F.sum(tokens_of(F.col("text"))).alias("tokens"), F.count(F.lit(1)).alias("documents"))
+    cells = keyed.groupBy(*KEYS).agg(F.sum("__tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"))
     cells = written(cells, "cells")
     aims = targets(cells, powers)
     return rake(cells, aims), aims
@@ -129,27 +129,35 @@ def marginals(docs: DataFrame, topic: Column | None = None, powers: dict[str, fl
     return found
 
 
+def _drawn(keyed: DataFrame, powers: dict[str, float] | None) -> DataFrame:
+    weights = _raked(keyed, powers or POWERS)[0].select(
+        *[F.col(k).alias(f"{k}_") for k in KEYS], (F.col("weight") / F.col("tokens")).alias("__p"))
+    joined = keyed.join(weights, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in KEYS], "left")
+    return joined.withColumn("__drawn", F.col("__u") < F.col("__p"))
+
+
+def _chance(seed: int) -> Column:
+    """A number in [0, 1) for each document: 53 bits of a hash, which a double holds exactly."""
+    return F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11).cast("double") / float(1 << 53)
+
+
 def drawn(docs: DataFrame, topic: Column | None = None, powers: dict[str, float] | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` with __topic, __tokens, __weight (per token), __p and __drawn.
+    """``docs`` with __topic, __tokens, __p (probability) and __drawn.
 
     Null sources, languages and topics are values like others; a null text has one
     token, its end. Rows alike in doc_id and text are drawn alike. An empty table gives
     an empty one.
     """
     prepare(docs.sparkSession)
-    keyed = _keyed(docs, topic)
-    weights = _raked(keyed, powers or POWERS)[0].select(
-        *[F.col(k).alias(f"{k}_") for k in KEYS], (F.col("weight") / F.col("tokens")).alias("__p"))
-    joined = keyed.join(weights, [F.col(k).eqNullSafe(F.col(f"{k}_")) for k in KEYS], "left")
-    # 53 bits of a hash: a double holds them exactly
-    u = F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11).cast("double") / float(1 << 53)
-    return joined.withColumn("__drawn", u < F.col("__p"))
+    return _drawn(_keyed(docs, topic).withColumn("__u", _chance(seed)), powers)
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, source, lang, topic, tokens, probability, selected."""
-    return drawn(docs.select("doc_id", "text", "source", "lang")).select(
-        "doc_id", "source", "lang", F.col("__topic").alias("topic"), tokens_of(F.col("text")).alias("tokens"),
+    """Per row: doc_id, source, lang, topic, tokens, probability, selected. Texts are read once."""
+    prepare(docs.sparkSession)
+    keyed = _keyed(docs.select("doc_id", "text", "source", "lang"), None).withColumn("__u", _chance(SEED))
+    return _drawn(written(keyed.drop("text"), "measured"), None).select(
+        "doc_id", "source", "lang", F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"),
         F.col("__p").alias("probability"), F.col("__drawn").alias("selected"))
 
 
