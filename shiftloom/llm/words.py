@@ -39,12 +39,19 @@ def word_blocks(data: bytes, overlap: int, size: int = BLOCK) -> Iterator[list[b
         held, at = words[len(words) - overlap:] if overlap and len(words) >= overlap else words if overlap else [], end
 
 
-def normal(data: bytes) -> bytes:
-    """What is compared: lower case, and words without the punctuation around them."""
-    return data.decode("utf-8", "replace").lower().translate(_BLANK).encode()
+PUNCTUATION = "\"'`.,;:!?()[]{}<>|*_~#-–—‘’“”«»¡¿…"
+_ASCII = bytes(32 if c < 128 and chr(c) in PUNCTUATION else c for c in range(256))
+_WIDE = [c.encode() for c in PUNCTUATION if not c.isascii()]
 
 
-_BLANK = {ord(c): " " for c in "\"'`.,;:!?()[]{}<>|*_~#-–—‘’“”«»¡¿…"}
+def normal(data: bytes) -> bytes:
+    """What is compared: lower case, and words without the punctuation around them."""
+    if data.isascii():
+        return data.lower().translate(_ASCII)
+    data = data.decode("utf-8", "replace").lower().encode().translate(_ASCII)
+    for c in _WIDE:
+        data = data.replace(c, b" ")
+    return data
 
 
 def mix(h: np.ndarray) -> np.ndarray:
