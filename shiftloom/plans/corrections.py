@@ -12,13 +12,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftloom.functions.dates import week_ending_friday
-from shiftloom.operators import intervals
 from shiftloom.operators.overlays import DAY, ENTITY, EventFeed, event_table
 from shiftloom.operators.projection import q
 from shiftloom.operators.sets import stack
@@ -27,6 +28,7 @@ from shiftloom.session import scratch_path
 from shiftloom.sources import published
 
 FIRST, LAST = "__first", "__last"
+OLD, NEW = "__old", "__new"
 FOREVER = dt.date(9999, 12, 31)
 # Weeks end in a year that has one: the range of days beyond it has no week.
 LAST_DAY = dt.date(9999, 12, 24)
@@ -52,15 +54,15 @@ def changed_events(old: EventFeed, new: EventFeed) -> DataFrame:
     """(entity, first, last): from a changed event to the day before the next one that has all its columns.
 
     That later event settles the entity's rows on both sides. If it is itself new or
-    different it is among the changed ones and has its own range.
+    different it is among the changed ones and has its own range. Both feeds are brought to one row
+    per (entity, day) in one pass, so an entity's rows are bounded by the calendar.
     """
-    sides = [event_table([f]).select(ENTITY, DAY, *[F.col(f.name)[o].alias(o) for o in f.payload]) for f in (old, new)]
-    dirty = differing(*sides, [ENTITY, DAY])
-    whole = sides[1].dropna("any").select(ENTITY, DAY, F.lit(0).alias("__kind"))
-    line = Timeline([ENTITY], [DAY, "__kind"], position=F.unix_date(F.col(DAY)))
-    marks = stack(whole, dirty.withColumn("__kind", F.lit(1)))
-    settled = F.when(F.col("__kind") == 0, F.col(DAY))
-    found = line.unsplit(line.following(line.split(marks), {"__next": settled})).where(F.col("__kind") == 1)
+    both = event_table([replace(old, name=OLD), replace(new, name=NEW)])
+    held = [F.col(side).isNotNull() for side in (OLD, NEW)]
+    same = reduce(and_, [F.col(OLD)[o].eqNullSafe(F.col(NEW)[o]) for o in old.payload], held[0] == held[1])
+    whole = reduce(and_, [F.col(NEW)[o].isNotNull() for o in new.payload], held[1])
+    marks = both.select(ENTITY, DAY, (~same).alias("__dirty"), F.when(whole, F.col(DAY)).alias("__settled"))
+    found = Timeline([ENTITY], [DAY]).following(marks, {"__next": "__settled"}).where("__dirty")
     last = F.coalesce(F.date_sub("__next", 1), F.lit(FOREVER))
     return found.select(ENTITY, F.col(DAY).alias(FIRST), last.alias(LAST))
 
@@ -92,12 +94,27 @@ class WeeklyFact:
         return published.publish(self.whole(base).repartition(self.week, self.entity), path, partition_by=self.week)
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written once: what reads them several times does not make them several times."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def touched(pairs: DataFrame, ranges: DataFrame, entity: str, week: str) -> DataFrame:
+    """Distinct (entity, week) of ``pairs`` that a range of days of the entity touches.
+
+    A week is touched if the greatest end among the ranges that begin in it or before reaches it.
+    One row per entity and week is left before the ordered pass, so the calendar bounds it.
+    """
+    begins, ends = (week_ending_friday(F.least(c, F.lit(LAST_DAY))) for c in (FIRST, LAST))
+    starts = ranges.select(q(ENTITY).alias(entity), begins.alias(week), ends.alias(LAST))
+    marks = stack(pairs.dropna("any").withColumn("__row", F.lit(True)), starts.dropna("any"))
+    weeks = marks.groupBy(entity, week).agg(F.max(LAST).alias(LAST), F.max("__row").alias("__row"))
+    reached = Timeline([entity], [week]).running_max(weeks, {"__reach": LAST})
+    return reached.where(F.col("__row") & (F.greatest(LAST, "__reach") >= q(week))).select(entity, week)
+
+
 @dataclass(frozen=True)
 class Refresh:
     """What a refresh did: weeks looked at, weeks written, and the state it left."""
@@ -120,21 +137,16 @@ def refresh(fact: WeeklyFact, base: DataFrame, path: str, changes: Sequence[Data
     before = published.state(spark, path)
     if before is None:
         raise ValueError(f"nothing is published at {path}")
-    ranges = _stored(stack(*changes).dropna("any"), "changed")
+    ranges = stored(stack(*changes).dropna("any"), "changed")
     low, high = ranges.agg(F.min(FIRST), F.max(LAST)).first()
     if low is None:
         return Refresh([], [], before)
     inside = [p.value for p in before.parts if p.value is not None and str(low) <= p.value and dt.date.fromisoformat(p.value) - dt.timedelta(6) <= high]
     entity, week = fact.entity, fact.week
-    spans = ranges.select(
-        q(ENTITY).alias(entity), week_ending_friday(F.least(FIRST, F.lit(LAST_DAY))).alias(FIRST),
-        week_ending_friday(F.least(LAST, F.lit(LAST_DAY))).alias(LAST),
-    ).transform(intervals.union(Timeline([entity], []), FIRST, LAST))
     rows = fact.with_week(base)
     standing = published._frame(spark, path, before, inside)
     near = rows.where(q(week).between(week_ending_friday(F.lit(low)), week_ending_friday(F.least(F.lit(high), F.lit(LAST_DAY)))))
-    pairs = stack(near.select(entity, week), standing.select(entity, week)).distinct()
-    dirty = _stored(pairs.transform(intervals.range_join(spans, entity, week, FIRST, LAST)).select(entity, week).distinct(), "dirty")
+    dirty = stored(touched(stack(near.select(entity, week), standing.select(entity, week)), ranges, entity, week), "dirty")
     weeks = sorted(r[0] for r in dirty.select(week).distinct().collect())
     if not weeks:
         return Refresh([], [], before)
@@ -144,7 +156,7 @@ def refresh(fact: WeeklyFact, base: DataFrame, path: str, changes: Sequence[Data
         return feed.join(people.select(q(entity).alias("__who")), q(column) == F.col("__who"), "left_semi")
 
     on = [entity, week]
-    new = _stored(fact.build(near.where(q(week).isin(weeks)).join(dirty, on, "left_semi"), of_them).select(*[q(c) for c in before.schema.names]), "rebuilt")
+    new = stored(fact.build(near.where(q(week).isin(weeks)).join(dirty, on, "left_semi"), of_them).select(*[q(c) for c in before.schema.names]), "rebuilt")
     old = published._frame(spark, path, before, weeks)
     changed = differing(old.join(dirty, on, "left_semi"), new, [week])
     written = sorted(r[0] for r in changed.collect())

@@ -321,13 +321,15 @@ def coefficient_rules(total: Column, days: Column, mark: Column, schedule: Colum
 
 
 def _coefficient(df: DataFrame, keys: Sequence[str], date: str, schedule: str, leave: str,
-                 default: float | None, out: str) -> DataFrame:
+                 default: float | None, out: str, totals: Sequence[str] | None = None) -> DataFrame:
     """``keys`` end with the Saturday-to-Friday week. Its Friday comes last, so a mark
-    filled backwards from there reaches every day of the week: it is the week's maximum."""
+    filled backwards from there reaches every day of the week: it is the week's maximum.
+    ``totals`` are summed over the week where ``schedule`` and ``leave`` stand on every row of a day."""
     week = Window.partitionBy(*keys)
+    worked, off = totals or (schedule, leave)
     friday_leave = (F.weekday(F.col(date)) == 4) & (F.col(leave) == 1) & (F.col("__days") == 4)
     return (
-        df.withColumns({"__days": F.sum(schedule).over(week), "__off": F.sum(leave).over(week)})
+        df.withColumns({"__days": F.sum(worked).over(week), "__off": F.sum(off).over(week)})
         .withColumn("__mark", F.max(F.when(friday_leave, F.lit(1))).over(week))
         .withColumn(
             out,
@@ -342,14 +344,23 @@ def _coefficient(df: DataFrame, keys: Sequence[str], date: str, schedule: str, l
 
 def weekly_coefficient(entity: str = "EID", week: str = "week_ending", date: str = "date",
                        schedule: str = "Schedule", leave: str = "Leave",
-                       default: float | None = 0.0, out: str = "WSC"):
+                       default: float | None = 0.0, out: str = "WSC", bounded: bool = False):
     """Coefficient of every row of any fact.
 
     The fact is first summed to one row per (entity, day), so that the windows see at
-    most seven rows whatever the entity, and the result is joined back.
+    most seven rows whatever the entity, and the result is joined back. That makes the
+    fact several times over. Where the calendar bounds the rows per entity (``bounded``) the days are
+    summed in windows instead: the same results, and the fact is made once. All rows of a day
+    stand in one week.
     """
 
     def op(df: DataFrame) -> DataFrame:
+        if bounded:
+            day, keyed = Window.partitionBy(entity, week, date), " AND ".join(f"`{c}` IS NOT NULL" for c in (entity, week, date))
+            own = df.withColumns({c: F.when(F.expr(keyed), F.col(v)) for c, v in (("__s", schedule), ("__l", leave))})
+            summed = own.withColumns({"__s_day": F.sum("__s").over(day), "__l_day": F.sum("__l").over(day)})
+            weighed = _coefficient(summed, [entity, week], date, "__s_day", "__l_day", default, out, ["__s", "__l"])
+            return weighed.withColumn(out, F.when(F.expr(keyed), F.col(out))).drop("__s", "__l", "__s_day", "__l_day")
         daily = (
             df.dropna("any", subset=[entity, week, date])
             .groupBy(entity, week, date)

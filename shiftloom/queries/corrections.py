@@ -72,9 +72,11 @@ _CARRY = "last_value({c} IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY day,
 def late_corrections(t: Tables) -> DataFrame:
     """A fact built from feeds that lack rows and hold wrong ones, then corrected."""
     path = scratch_path(t.spark, "fact")
-    base = user_days(t).select("user_id", "day", F.when(F.col("kind") == "error", F.lit(1)).when(F.col("kind") == "view", F.lit(0)).alias("status"))
+    kind = F.col("kind")
+    base = user_days(t).select("user_id", "day", F.when(kind == "error", F.lit(1)).when(kind == "view", F.lit(0)).alias("status"))
     moves = dated(t, "purchase").select("who", "eff", "event_id", F.expr(_UNIT).alias("unit"), F.expr(_FLOW).alias("flow"))
     late = dated(t, "signup").groupBy("who", "eff").agg((F.min("event_id") % 3).cast("int").alias("status"))
+    base, moves, late = (C.stored(df, label) for df, label in ((base, "base"), (moves, "moves"), (late, "late")))
     wrong = moves.where(F.col("event_id") % 13 != 0).withColumn("flow", F.when(F.col("event_id") % 17 == 0, F.lit("wrong")).otherwise(F.col("flow")))
     early = late.where(F.col("eff") < "2024-01-12")
     status_fact(wrong, early).publish(base, path)
@@ -84,14 +86,17 @@ def late_corrections(t: Tables) -> DataFrame:
 
 
 def status_fact(moves: DataFrame, late: DataFrame) -> C.WeeklyFact:
-    """Unit and flow carried from events, a status with a late feed behind it, and the week's coefficient."""
+    """Unit and flow carried from events, a status with a late feed behind it, and the week's coefficient.
+
+    All windows come after the join, so that they share the partitioning by user.
+    """
 
     def build(base: DataFrame, entities) -> DataFrame:
-        carried = base.transform(overlays.effective_overlay(DAY_LINE, [_feed(entities(moves, "who"))], "user_id", "day", carry_in=True))
-        filled = carried.transform(joins.late_fallback(entities(late, "who"), {"user_id": "who", "day": "eff"}, {"status": "status"}))
+        filled = base.transform(joins.late_fallback(entities(late, "who"), {"user_id": "who", "day": "eff"}, {"status": "status"}))
+        carried = filled.transform(overlays.effective_overlay(DAY_LINE, [_feed(entities(moves, "who"))], "user_id", "day", carry_in=True))
         absent = F.col("status") == 1
-        flagged = filled.withColumns({"week": week_ending_friday("day"), "l": rules.flag(absent), "s": F.lit(1) - rules.flag(absent)})
-        weighed = flagged.transform(S.weekly_coefficient("user_id", "week", "day", "s", "l", out="wsc"))
+        flagged = carried.withColumns({"week": week_ending_friday("day"), "l": rules.flag(absent), "s": F.lit(1) - rules.flag(absent)})
+        weighed = flagged.transform(S.weekly_coefficient("user_id", "week", "day", "s", "l", out="wsc", bounded=True))
         return weighed.select("user_id", "day", "week", "unit", "flow", "status", "wsc")
 
     return C.WeeklyFact("user_id", "day", "week", build)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shiftloom.plans import corrections as C
 from shiftloom.queries.corrections import _feed, status_fact
 from shiftloom.sources.published import read_published, state
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 DAY = dt.date(2024, 1, 1)
 MOVES = "who long, eff date, event_id long, unit string, flow string"
@@ -84,3 +84,61 @@ def test_nothing_changed_or_nothing_came_of_it(spark, tmp_path):
 def test_differing_counts_repeats(spark):
     old, new = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "k long, v string"), spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "k long, v string")
     assert rows(C.differing(old, new, ["k"])) == [(1,), (3,)]
+
+
+def scans(df):
+    return plan(df).count("FileScan parquet")
+
+
+def test_base_and_feeds_are_read_once(spark, tmp_path):
+    base, moves, late = frames(spark, *feeds(random.Random(7)))
+
+    def landed(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    assert scans(status_fact(moves, late).whole(landed(base, "base"))) == 1
+    old, new = landed(moves, "old"), landed(moves.where("event_id % 3 > 0"), "new")
+    assert scans(C.changed_events(_feed(old), _feed(new))) == 2
+
+
+def first_of_days(moves):
+    firsts = {}
+    for who, eff, i, *payload in moves:
+        if None not in (who, eff) and (who, eff) not in firsts or firsts.get((who, eff), (i,))[0] > i:
+            firsts[who, eff] = (i, *payload)
+    return {k: v[1:] for k, v in firsts.items()}
+
+
+def test_ranges_of_changed_events(spark):
+    rng = random.Random(8)
+
+    def move(i):
+        who, unit, flow = rng.choice([None, 0, 1, 2]), rng.choice([None, "u1", "u2"]), rng.choice([None, "f1", "f2"])
+        return who, rng.choice([None, *(DAY + dt.timedelta(d) for d in range(40))]), i, unit, flow
+
+    old = [move(i) for i in range(150)]
+    new = [(*m[:3], rng.choice([m[3], None]), m[4]) for m in old if rng.random() > 0.1] + [move(i) for i in range(150, 160)]
+    was, now = first_of_days(old), first_of_days(new)
+    want = []
+    for who, day in was.keys() | now.keys():
+        if ((who, day) in was, was.get((who, day))) != ((who, day) in now, now.get((who, day))):
+            settled = [d for w, d in now if w == who and d > day and None not in now[w, d]]
+            want.append((who, day, min(settled) - dt.timedelta(1) if settled else C.FOREVER))
+    got = C.changed_events(_feed(spark.createDataFrame(old, MOVES)), _feed(spark.createDataFrame(new, MOVES)))
+    assert rows(got) == sorted(want)
+
+
+def test_touched_weeks(spark):
+    rng, fridays = random.Random(9), [dt.date(2024, 1, 5) + dt.timedelta(7 * i) for i in range(20)]
+    pairs = [(rng.choice([None, 0, 1, 2, 3]), rng.choice([None, *fridays])) for _ in range(60)]
+    ranges = []
+    for who in (0, 1, 1, 2, 2, 2, 9, None):
+        first = DAY + dt.timedelta(rng.randrange(120))
+        ranges.append((who, first, rng.choice([C.FOREVER, first, first + dt.timedelta(9), first - dt.timedelta(20)])))
+    ranges += [(3, DAY + dt.timedelta(50), DAY), (3, DAY + dt.timedelta(1), DAY + dt.timedelta(2)), (3, DAY, DAY + dt.timedelta(30))]
+    reach = lambda d: d + dt.timedelta((4 - d.weekday()) % 7) if d != C.FOREVER else d
+    want = {(w, week) for w, week in pairs for r, lo, hi in ranges if None not in (w, week) and w == r and reach(lo) <= week <= reach(hi)}
+    got = C.touched(spark.createDataFrame(pairs, "user_id long, week date"),
+                    spark.createDataFrame(ranges, f"{C.ENTITY} long, {C.FIRST} date, {C.LAST} date"), "user_id", "week")
+    assert rows(got) == sorted(want)

@@ -1,13 +1,14 @@
 """Schedule rules: golden cases and both readings of null cells."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from shiftloom.operators.timeline import Timeline
 from shiftloom.plans import schedule as S
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 SATURDAY = dt.date(2023, 12, 23)
 
@@ -103,6 +104,24 @@ def test_weekly_coefficient_of_repeated_days(spark):
     assert df.count() == 14 and {r["WSC"] for r in df.collect()} == {0.0}  # 14 days in the week: no rule holds
 
 
+
+def test_weekly_coefficient_of_bounded_timelines(spark):
+    """The same results in windows, with repeated days and rows without a key, from a fact that is made once."""
+    rng = random.Random(4)
+    data = []
+    for _ in range(400):
+        d, off = SATURDAY + dt.timedelta(rng.randrange(35)), rng.choice([0, 0, 1, None])
+        week = d + dt.timedelta((4 - d.weekday()) % 7)
+        data.append((rng.choice(["a", "b", "c", "d", "e", "f", None]), rng.choice([d, d, d, d, None]), week if d.day % 9 else None,
+                     None if off is None else 1 - off, off))
+    data += [("g", SATURDAY + dt.timedelta(i), SATURDAY + dt.timedelta(6), int(c == "M"), int(c == "L")) for i, c in enumerate("LLMMMML")]
+    data += [("h", SATURDAY + dt.timedelta(i), SATURDAY + dt.timedelta(6), 1, 0) for i in (0, 1, 1, 2)]
+    df = spark.createDataFrame(data, "EID string, date date, week_ending date, Schedule int, Leave int")
+    want = df.transform(S.weekly_coefficient())
+    got = df.transform(S.weekly_coefficient(bounded=True))
+    assert rows(got.select(want.columns)) == rows(want) and got.columns == df.columns + ["WSC"]
+    assert plan(got).count("Scan ExistingRDD") == 1 < plan(want).count("Scan ExistingRDD")
+
 def test_tenure(spark):
     d = dt.date
     cases = [
